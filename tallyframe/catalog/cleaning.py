@@ -27,18 +27,16 @@ def _(spark, folder):
 
 
 @query("select_by_dtype", over("blocks", f"""
-SELECT ocean_proximity, {', '.join(f'sum({c}) AS {c}' for c in ('total_rooms', 'population', 'households'))},
+SELECT ocean_proximity, {', '.join(r(f'sum({c})', 3) + f' AS {c}' for c in ('total_rooms', 'population', 'households'))},
   count(*) AS n, 'ocean_proximity' AS categorical, 'block_id,{','.join(NUMERIC)},median_house_value' AS numeric
 FROM blocks GROUP BY 1"""))
 def _(spark, folder):
     table = views.blocks(spark, folder)
     numeric, categorical = numeric_columns(table), category_columns(table)
-    return (
-        table.groupBy(*categorical)
-        .agg(*[F.sum(c).alias(c) for c in ("total_rooms", "population", "households")], F.count(F.lit(1)).alias("n"))
-        .withColumn("categorical", F.lit(",".join(categorical)))
-        .withColumn("numeric", F.lit(",".join(numeric)))
-    )
+    sums = [F.sum(c).alias(c) for c in ("total_rooms", "population", "households")]
+    grouped = table.groupBy(*categorical).agg(*sums, F.count(F.lit(1)).alias("n"))
+    named = grouped.withColumns({"categorical": F.lit(",".join(categorical)), "numeric": F.lit(",".join(numeric))})
+    return tidy(named, 3)
 
 
 RATIOS_SQL = """total_rooms / nullif(households, 0) AS rooms_per_household,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from tallyframe.catalog.registry import over, query, r, tidy
 from tallyframe.operators import profiling
 from tallyframe.operators.features import HOUSEHOLD_RATIOS, scaler_stats, select_low_variance
@@ -72,22 +75,20 @@ def _(spark, folder):
 
 
 @query("sorted_stats", over("blocks", "+ s AS (" + _stack([
-    f"SELECT '{c}' AS column_name, skewness({c}) AS s, kurtosis({c}) AS k FROM blocks" for c in BLOCK]) + f""")
-SELECT 'skewness' AS statistic, column_name, {r('s')} AS value, row_number() OVER (ORDER BY s DESC NULLS LAST, column_name) AS place FROM s
-UNION ALL SELECT 'kurtosis', column_name, {r('k')}, row_number() OVER (ORDER BY k DESC NULLS LAST, column_name) FROM s"""))
+    f"SELECT '{c}' AS column_name, {r(f'skewness({c})')} AS s, {r(f'kurtosis({c})')} AS k FROM blocks" for c in BLOCK]) + """)
+SELECT 'skewness' AS statistic, column_name, s AS value, row_number() OVER (ORDER BY s DESC NULLS LAST, column_name) AS place FROM s
+UNION ALL SELECT 'kurtosis', column_name, k, row_number() OVER (ORDER BY k DESC NULLS LAST, column_name) FROM s"""))
 def _(spark, folder):
-    """Both sorted lists with the place of each column; the lists have one row per column."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
+    """Both sorted lists with the place of each column; the lists have one row per column.
+    Rounded before ranking, so that two columns with the same shape tie in every engine."""
     table = views.blocks(spark, folder)
     out = None
     for name, fn in (("skewness", profiling.skewness), ("kurtosis", profiling.kurtosis)):
+        part = tidy(fn(table, BLOCK).select(F.lit(name).alias("statistic"), "column_name", F.col(name).alias("value")))
         order = Window.partitionBy("statistic").orderBy(F.desc_nulls_last("value"), "column_name")
-        part = fn(table, BLOCK).select(F.lit(name).alias("statistic"), "column_name", F.col(name).alias("value"))
         part = part.withColumn("place", F.row_number().over(order).cast("long"))
         out = part if out is None else out.unionByName(part)
-    return tidy(out)
+    return out
 
 
 def _corr(a: str, b: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.numeric import round_to
-from tallyframe.session import use_result_settings
+from tallyframe.session import use_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(use_result_settings(spark), folder)
+            return fn(use_settings(spark), folder)
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

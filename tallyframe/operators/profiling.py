@@ -17,23 +17,53 @@ from tallyframe.functions.numeric import (
 )
 from tallyframe.operators.quantiles import exact_quantiles
 
+# Measures per aggregate: plain ones, and correlations with their larger buffers.
+WIDTH, PAIR_WIDTH = 30, 9
+
 
 def _lit_double(v: float | None) -> Column:
     return F.lit(v).cast("double")
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, callable]) -> DataFrame:
-    """One row per column holding the named aggregates, from a single aggregate over the table."""
-    one = df.agg(
-        *[F.struct(*[make(c).alias(stat) for stat, make in stats.items()]).alias(f"s{i}") for i, c in enumerate(columns)]
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"s{i}.{stat}").alias(stat) for stat in stats])
-            for i, c in enumerate(columns)
+def long_rows(
+    df: DataFrame, rows: Sequence[tuple[dict[str, str], dict[str, Column]]], width: int = WIDTH
+) -> DataFrame:
+    """One output row per entry: constant labels plus aggregates over the whole table.
+
+    Aggregates with very many buffers leave code generation and run several times slower,
+    so entries are packed into aggregates of about ``width`` measures. These run side by side
+    and each reads only its own columns: list the entries of a column together.
+    """
+    packs: list[list[int]] = [[]]
+    used = 0
+    for i, (_, measures) in enumerate(rows):
+        if packs[-1] and used + len(measures) > width:
+            packs.append([])
+            used = 0
+        packs[-1].append(i)
+        used += len(measures)
+    out = None
+    for pack in packs:
+        one = df.agg(*[m.alias(f"m{i}_{name}") for i in pack for name, m in rows[i][1].items()])
+        cells = [
+            F.struct(
+                *[F.lit(v).alias(k) for k, v in rows[i][0].items()],
+                *[F.col(f"m{i}_{name}").alias(name) for name in rows[i][1]],
+            )
+            for i in pack
         ]
+        piece = one.select(F.inline(F.array(*cells)))
+        out = piece if out is None else out.unionByName(piece)
+    return out
+
+
+def _per_column(
+    df: DataFrame, columns: Sequence[str], stats: dict[str, callable], width: int = WIDTH
+) -> DataFrame:
+    """One row per column holding the named aggregates."""
+    return long_rows(
+        df, [({"column_name": c}, {stat: make(c) for stat, make in stats.items()}) for c in columns], width
     )
-    return one.select(F.inline(rows))
 
 
 def structure(df: DataFrame) -> DataFrame:
@@ -59,9 +89,8 @@ def structure(df: DataFrame) -> DataFrame:
 
 def missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or df.columns)
-    one = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]
-    )
+    counts = {f"n{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(columns)}
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()])
     total = F.lit(0).cast("long")
     for i in range(len(columns)):
         total = total + F.col(f"n{i}")
@@ -120,37 +149,33 @@ def high_skew(df: DataFrame, columns: Sequence[str] | None = None, threshold: fl
     return skewness(df, columns).where(F.abs("skewness") > threshold)
 
 
-def correlations(df: DataFrame, columns: Sequence[str] | None = None, chunk: int = 150) -> DataFrame:
-    """Full correlation matrix in long form. Pairs are computed once and mirrored; wide
-    tables are split into several aggregates to stay within code generation limits."""
+def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Full correlation matrix in long form; each pair is computed once and mirrored."""
     columns = list(columns or numeric_columns(df))
-    pairs = [(a, b) for a, b in combinations(columns, 2)]
-    out = None
-    for start in range(0, max(len(pairs), 1), chunk):
-        part = pairs[start : start + chunk]
-        diagonal = columns if start == 0 else []
-        one = df.agg(
-            *[pairwise_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)],
-            *[F.when(F.var_pop(c) > 0, F.lit(1.0)).alias(f"d{i}") for i, c in enumerate(diagonal)],
-        )
-        cells = [_cell(x, y, F.col(f"r{i}")) for i, (a, b) in enumerate(part) for x, y in ((a, b), (b, a))]
-        cells += [_cell(c, c, F.col(f"d{i}")) for i, c in enumerate(diagonal)]
-        piece = one.select(F.inline(F.array(*cells)))
-        out = piece if out is None else out.unionByName(piece)
+    diagonal = [
+        ({"feature_1": c, "feature_2": c}, {"correlation": F.when(F.var_pop(c) > 0, F.lit(1.0))}) for c in columns
+    ]
+    swapped = F.struct(
+        F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), F.col("correlation")
+    )
+    both = F.array(F.struct("feature_1", "feature_2", "correlation"), swapped)
+    out = long_rows(df, diagonal)
+    if len(columns) > 1:
+        pairs = _upper_correlations(df, columns)
+        out = pairs.select(F.inline(both)).unionByName(out)
     return out
 
 
-def _cell(a: str, b: str, r: Column) -> Column:
-    return F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), r.alias("correlation"))
+def _upper_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each pair once, in column order."""
+    pairs = [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a, b in combinations(columns, 2)]
+    return long_rows(df, pairs, PAIR_WIDTH)
 
 
 def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
     """Pairs with a strong correlation, each once, in column order."""
     columns = list(columns or numeric_columns(df))
-    place = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
-    return correlations(df, columns).where(
-        (place[F.col("feature_1")] < place[F.col("feature_2")]) & (F.abs("correlation") > threshold)
-    )
+    return _upper_correlations(df, columns).where(F.abs("correlation") > threshold)
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -163,6 +188,7 @@ def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | Non
             if c == target
             else pairwise_corr(c, target)
         },
+        PAIR_WIDTH,
     )
     return stats.orderBy(F.desc_nulls_last("correlation"), "column_name")
 
@@ -218,18 +244,24 @@ def feature_insights(
     """What could be engineered: possible ratios, columns to transform, columns to scale."""
     columns = list(columns or numeric_columns(df))
     possible = [name for name, (a, b) in ratios.items() if a in df.columns and b in df.columns]
-    one = df.agg(
-        *[adjusted_skewness(c).alias(f"k{i}") for i, c in enumerate(columns)],
-        *[(F.max(F.col(c).cast("double")) - F.min(F.col(c).cast("double"))).alias(f"w{i}") for i, c in enumerate(columns)],
+    measured = _per_column(
+        df,
+        columns,
+        {
+            "skewness": adjusted_skewness,
+            "value_range": lambda c: F.max(F.col(c).cast("double")) - F.min(F.col(c).cast("double")),
+        },
     )
 
-    def hint(kind: str, name: str, condition: Column) -> Column:
-        return F.when(condition, F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name")))
+    def hint(kind: str, condition: Column) -> Column:
+        return F.when(condition, F.struct(F.lit(kind).alias("kind"), F.col("column_name").alias("name")))
 
-    rows = [hint("new_feature", name, F.lit(True)) for name in possible]
-    rows += [hint("transform", c, F.abs(f"k{i}") > skew_threshold) for i, c in enumerate(columns)]
-    rows += [hint("scale", c, F.col(f"w{i}") > min_range) for i, c in enumerate(columns)]
-    return one.select(F.inline(F.array_compact(F.array(*rows))))
+    hints = F.array(
+        hint("transform", F.abs("skewness") > skew_threshold), hint("scale", F.col("value_range") > min_range)
+    )
+    found = measured.select(F.inline(F.array_compact(hints)))
+    new = df.sparkSession.createDataFrame([("new_feature", n) for n in possible], "kind string, name string")
+    return new.unionByName(found)
 
 
 def variances(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.01) -> DataFrame:
@@ -261,19 +293,15 @@ def boxplot(df: DataFrame, columns: Sequence[str] | None = None, reach: float =
 def full_profile(
     df: DataFrame, target: str, columns: Sequence[str] | None = None, categories: Sequence[str] | None = None
 ) -> DataFrame:
-    """All sections in long form ``(section, column_name, stat, value)``.
-
-    Moments, extremes, NULL counts and correlations share one pass; exact quartiles and
-    category counts take their own.
-    """
+    """All sections in long form ``(section, column_name, stat, value)``."""
     columns = list(columns or numeric_columns(df))
     categories = list(categories or category_columns(df))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    measures: list[tuple[str, str, str, Column]] = [("structure", "*", "rows", F.count(F.lit(1)))]
-    for c in df.columns:
-        measures.append(("missing", c, "count", F.count_if(F.col(c).isNull())))
+    plain = [("structure", "*", "rows", F.count(F.lit(1)))]
+    plain += [("missing", c, "count", F.count_if(F.col(c).isNull())) for c in df.columns]
+    moments, pairs = [], []
     for c in columns:
-        measures += [
+        moments += [
             ("describe", c, "count", F.count(c)),
             ("describe", c, "mean", F.avg(c)),
             ("describe", c, "std", F.stddev_samp(c)),
@@ -283,27 +311,18 @@ def full_profile(
             ("distribution", c, "kurtosis", adjusted_kurtosis(c)),
             ("distribution", c, "variance", F.var_pop(c)),
         ]
+        moments += [
+            ("describe", c, stat, F.max(_lit_double(quartiles[c][i]))) for i, stat in enumerate(("q25", "q50", "q75"))
+        ]
         if c != target:
-            measures.append(("target_correlation", c, target, pairwise_corr(c, target)))
-    for a, b in combinations(columns, 2):
-        measures.append(("correlation", a, b, pairwise_corr(a, b)))
-    one = df.agg(*[m.cast("double").alias(f"m{i}") for i, (_, _, _, m) in enumerate(measures)])
-
-    def cell(section: str, column: str, stat: str, value: Column) -> Column:
-        return F.struct(
-            F.lit(section).alias("section"),
-            F.lit(column).alias("column_name"),
-            F.lit(stat).alias("stat"),
-            value.alias("value"),
-        )
-
-    cells = [cell(s, c, st, F.col(f"m{i}")) for i, (s, c, st, _) in enumerate(measures)]
-    cells += [
-        cell("describe", c, stat, _lit_double(quartiles[c][i]))
-        for c in columns
-        for i, stat in enumerate(("q25", "q50", "q75"))
-    ]
-    out = one.select(F.inline(F.array(*cells)))
+            pairs.append(("target_correlation", c, target, pairwise_corr(c, target)))
+    pairs += [("correlation", a, b, pairwise_corr(a, b)) for a, b in combinations(columns, 2)]
+    out = None
+    for group, width in ((plain, 90), (moments, WIDTH), (pairs, PAIR_WIDTH)):
+        rows = [({"section": s, "column_name": c, "stat": t}, {"value": m.cast("double")}) for s, c, t, m in group]
+        if rows:
+            piece = long_rows(df, rows, width)
+            out = piece if out is None else out.unionByName(piece)
     if categories:
         counts = value_counts(df, categories).select(
             F.lit("category").alias("section"),

@@ -2,10 +2,10 @@
 
 The built-in exact ``percentile`` keeps a count per distinct value in one task, which is
 fine only while the table is small. Above ``direct_rows`` the values around each wanted
-rank are bracketed with ``percentile_approx`` (error at most ``n / accuracy`` ranks) until
-few rows are left inside the bracket, and only those are counted value by value. Every
-step is a plain aggregate with map-side combine. Values that repeat on an interval end are
-taken out of the interval, so each step shrinks it whatever the skew.
+rank are bracketed with ``percentile_approx`` until few rows are left inside the bracket,
+and only those are counted value by value. Every step is a plain aggregate with map-side
+combine. Values that repeat on an interval end are taken out of the interval, so each step
+shrinks it whatever the skew.
 """
 
 from __future__ import annotations
@@ -14,29 +14,35 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 1_000_000
+DIRECT_ROWS = 50_000
 BRACKET_ROWS = 20_000
-ACCURACY = 10_000
+ACCURACY = 5_000
 
 
 @dataclass
 class _Rank:
-    """One wanted order statistic and the open value interval it is known to lie in."""
+    """Two neighbouring order statistics and the open value interval they are known to lie in."""
 
     column: str
-    rank: int  # zero-based, among the non-null values
+    first: int  # zero-based rank among the non-null values; the second is the same or the next
+    second: int
     low: float
     high: float
     below: int  # values at or under ``low``
     inside: int
     spare: float
 
-    def holds(self):
+    def holds(self) -> Column:
         return (F.col(self.column) > F.lit(self.low)) & (F.col(self.column) < F.lit(self.high))
 
+    def ends(self) -> tuple[float, float]:
+        """Shares of the interval between which the wanted ranks surely lie."""
+        at = [(k - self.below) / max(self.inside - 1, 1) for k in (self.first, self.second)]
+        return max(at[0] - self.spare, 0.0), min(at[1] + self.spare, 1.0)
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -51,48 +57,55 @@ def exact_quantiles(
     if not columns:
         return {}
     values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    if values.count() <= direct_rows:
+    sizes = values.agg(F.count(F.lit(1)), *[F.count(v) for v in values.columns]).first()
+    if sizes[0] <= direct_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         row = values.agg(*[F.percentile(v, wanted) for v in values.columns]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
-    sizes = dict(zip(columns, values.agg(*[F.count(v) for v in values.columns]).first()))
     active = {}
     for i, c in enumerate(columns):
+        n = sizes[i + 1]
         for p in probabilities:
-            pos = p * (sizes[c] - 1)
-            for rank in {math.floor(pos), math.ceil(pos)} if sizes[c] else ():
-                active[(c, rank)] = _Rank(f"v{i}", rank, -math.inf, math.inf, 0, sizes[c], 3.0 / accuracy)
-    found: dict[tuple[str, int], float] = {}
+            pos = p * (n - 1)
+            if n:
+                ends = math.floor(pos), math.ceil(pos)
+                active[(c, p)] = _Rank(f"v{i}", *ends, -math.inf, math.inf, 0, n, 3.0 / accuracy)
+    found: dict[tuple[str, float], tuple[float, float]] = {}
     while active:
         wide = {k: r for k, r in active.items() if r.inside > bracket_rows}
         found.update(_tighten(values, wide, accuracy) if wide else {})
         ready = {k: r for k, r in active.items() if k not in found and r.inside <= bracket_rows}
         found.update(_pick(values, ready) if ready else {})
         active = {k: r for k, r in active.items() if k not in found}
-    return {c: [_between(found, c, p, sizes[c]) for p in probabilities] for c in columns}
+    return {c: [_between(found.get((c, p)), p, sizes[i + 1]) for p in probabilities] for i, c in enumerate(columns)}
 
 
-def _between(found, column, p, size):
-    if not size:
+def _between(pair, p, size):
+    if pair is None:
         return None
     pos = p * (size - 1)
-    low, high = found[(column, math.floor(pos))], found[(column, math.ceil(pos))]
-    return low + (high - low) * (pos - math.floor(pos))
+    return pair[0] + (pair[1] - pair[0]) * (pos - math.floor(pos))
 
 
 def _tighten(values, ranks, accuracy):
-    """Narrow each interval around its rank; returns the ranks that fall on an interval end."""
-    ends = values.agg(
+    """Narrow each interval around its ranks; returns those that fall on an interval end."""
+    # Ranks that still share an interval share one sketch.
+    shared: dict[tuple, list[_Rank]] = {}
+    for r in ranks.values():
+        shared.setdefault((r.column, r.low, r.high), []).append(r)
+    sketches = values.agg(
         *[
             F.percentile_approx(
-                F.when(r.holds(), F.col(r.column)),
-                F.array(F.lit(max(p - r.spare, 0.0)), F.lit(min(p + r.spare, 1.0))),
+                F.when(rs[0].holds(), F.col(rs[0].column)),
+                F.array(*[F.lit(e) for r in rs for e in r.ends()]),
                 F.lit(accuracy),
             )
-            for r in ranks.values()
-            for p in [(r.rank - r.below) / max(r.inside - 1, 1)]
+            for rs in shared.values()
         ]
     ).first()
+    ends = {}
+    for rs, cuts in zip(shared.values(), sketches):
+        ends.update({id(r): (cuts[2 * j], cuts[2 * j + 1]) for j, r in enumerate(rs)})
     counts = values.agg(
         *[
             F.struct(
@@ -101,25 +114,39 @@ def _tighten(values, ranks, accuracy):
                 F.count_if(F.col(r.column) < F.lit(high)),
                 F.count_if(F.col(r.column) == F.lit(high)),
             )
-            for r, (low, high) in zip(ranks.values(), ends)
+            for r in ranks.values()
+            for low, high in [ends[id(r)]]
         ]
     ).first()
     hit = {}
-    for (key, r), (low, high), (under, on_low, under_high, on_high) in zip(ranks.items(), ends, counts):
-        if not under <= r.rank < under_high + on_high:
+    for (key, r), (under, on_low, under_high, on_high) in zip(ranks.items(), counts):
+        low, high = ends[id(r)]
+        on = [
+            low if under <= k < under + on_low else high if under_high <= k < under_high + on_high else None
+            for k in (r.first, r.second)
+        ]
+        if not under <= r.first <= r.second < under_high + on_high:
             r.spare *= 4  # the sketch was further off than promised: try again with wider ends
-        elif r.rank < under + on_low:
-            hit[key] = low
-        elif r.rank >= under_high:
-            hit[key] = high
-        else:
+        elif None not in on:
+            hit[key] = (on[0], on[1])
+        elif on == [None, None]:
             r.low, r.high, r.below, r.inside = low, high, under + on_low, under_high - under - on_low
+        else:
+            hit.update(_neighbour(values, key, r, low if on[0] is not None else high, on))
     return hit
 
 
+def _neighbour(values, key, r, end, on):
+    """One rank is an interval end, the other the next value inside: a plain min or max."""
+    inner = F.min(F.when(F.col(r.column) > F.lit(end), F.col(r.column)))
+    if on[0] is None:
+        inner = F.max(F.when(F.col(r.column) < F.lit(end), F.col(r.column)))
+    other = values.agg(inner).first()[0]
+    return {key: (end, other) if on[0] is not None else (other, end)}
+
+
 def _pick(values, ready):
     """Read the wanted ranks off per-value counts; at most ``bracket_rows`` values per rank."""
-    keys = list(ready)
     hits = F.array_compact(
         F.array(
             *[
@@ -137,11 +164,12 @@ def _pick(values, ready):
     for t, v, n in counted.collect():
         per_target.setdefault(t, []).append((v, n))
     out = {}
-    for j, key in enumerate(keys):
-        seen = ready[key].below
+    for j, (key, r) in enumerate(ready.items()):
+        seen, pair = r.below, []
         for v, n in sorted(per_target[j]):
             seen += n
-            if seen > ready[key].rank:
-                out[key] = v
+            pair += [v for k in (r.first, r.second)[len(pair) :] if seen > k]
+            if len(pair) == 2:
                 break
+        out[key] = (pair[0], pair[1])
     return out

@@ -38,10 +38,14 @@ def build_session(app_name: str = "tallyframe", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def use_result_settings(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session somebody else built."""
+def use_settings(spark: SparkSession) -> SparkSession:
+    """Prepare a session somebody else built: settings results depend on are set, those for
+    speed only where the session has none of its own."""
     for key, value in RESULT_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in PLAN_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
