@@ -53,6 +53,7 @@ EXPECTED_COLUMNS = (
     "ocean_proximity",
 )
 
+ROUNDING = 16 * 2.0**-52
 SMALL_CATEGORY = 10_000
 MAX_FLAG_COLUMNS = 1_000
 
@@ -91,10 +92,12 @@ def poly_features(
 
 
 def _scale_stats(kind: str, c: str) -> tuple[Column, Column]:
-    """Aggregates for the shift and the divisor of one column; a zero spread divides by 1."""
+    """Aggregates for the shift and the divisor of one column. A column that is constant, or
+    constant but for the rounding of doubles, is divided by 1."""
     x = F.col(c).cast("double")
     if kind == "standard":
         shift, spread = F.avg(x), F.stddev_pop(x)
+        spread = F.when(spread > ROUNDING * F.abs(shift), spread)
     elif kind == "minmax":
         shift, spread = F.min(x), F.max(x) - F.min(x)
     else:
@@ -263,14 +266,13 @@ def engineer_features(
     if polynomial:
         work = poly_features(work)
     numeric = [c for c in numeric_columns(work, [target]) if c not in keep]
-    # Scaled columns have variance 1, or 0 where the source is constant, so one read of the
-    # source columns decides for both.
+    # The variance of a scaled column follows from its source, so one read decides for both.
     measured = work.agg(
         *[F.struct(*_scale_stats("standard", c), F.var_pop(c)).alias(f"s{i}") for i, c in enumerate(numeric)]
     ).first()
     fitted = {c: measured[i] for i, c in enumerate(numeric)}
     kept = [c for c in numeric if (fitted[c][2] or 0.0) > threshold]
-    scaled = [c for c in numeric if (fitted[c][2] or 0.0) > 0.0] if scale else []
+    scaled = [c for c in numeric if (fitted[c][2] or 0.0) / fitted[c][1] ** 2 > threshold] if scale else []
     if scale:
         work = apply_scaler(work, {c: (fitted[c][0], fitted[c][1]) for c in scaled})
     other = [c for c in work.columns if c not in numeric and c not in keep and c != target and not c.endswith("_scaled")]
