@@ -22,6 +22,15 @@ def moment(value: dt.datetime | Column | None, df: DataFrame, ts: str = "ts") ->
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def hours_before(df: DataFrame, hours: float, as_of: dt.datetime | Column | None = None, ts: str = "ts") -> Column:
+    """Start of a look-back window. The subtraction is part of the subquery, so that the filter
+    compares with a plain value the scan can use."""
+    span = F.make_dt_interval(hours=F.lit(int(hours)), secs=F.lit((hours % 1) * 3600))
+    if as_of is None:
+        return df.agg(F.max(ts) - span).scalar()
+    return moment(as_of, df, ts) - span
+
+
 def since(
     df: DataFrame,
     hours: float,
@@ -30,7 +39,7 @@ def since(
     day: str | None = None,
 ) -> DataFrame:
     """Rows newer than ``as_of - hours``. ``day`` names a date partition column to prune by."""
-    cutoff = moment(as_of, df, ts) - F.make_dt_interval(hours=F.lit(int(hours)), secs=F.lit((hours % 1) * 3600))
+    cutoff = hours_before(df, hours, as_of, ts)
     out = df.where(F.col(ts) > cutoff)
     if day:
         out = out.where(F.col(day) >= F.to_date(cutoff))

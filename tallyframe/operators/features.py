@@ -148,6 +148,20 @@ def categories(df: DataFrame, column: str, cap: int, null_as: str | None = None)
     return None if len(rows) > cap else sorted(r[0] for r in rows)
 
 
+def category_lists(df: DataFrame, columns: Sequence[str], cap: int) -> dict[str, list[str | None] | None]:
+    """Distinct values (NULL included) of several columns from one scan, ``None`` where over ``cap``."""
+    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns])
+    most = (cap + 2) * len(columns)
+    rows = df.select(F.inline(cells)).distinct().limit(most).collect() if columns else []
+    found: dict[str, list] = {c: [] for c in columns}
+    for c, v in rows:
+        found[c].append(v)
+    if columns and len(rows) == most:
+        # Some column is far over the cap, so others may be cut short: ask for each alone.
+        found = {c: [r[0] for r in df.select(c).distinct().limit(cap + 2).collect()] for c in columns}
+    return {c: None if len(v) > cap + 1 else v for c, v in found.items()}
+
+
 def one_hot(
     df: DataFrame,
     column: str,
@@ -229,12 +243,17 @@ def encode_categories(
     df: DataFrame, flags: Sequence[str] = ("ocean_proximity",), columns: Sequence[str] | None = None
 ) -> DataFrame:
     """One-hot for the ``flags`` columns, label codes for text columns named like a category."""
-    for c in category_columns(df) if columns is None else columns:
+    columns = category_columns(df) if columns is None else list(columns)
+    wanted = [c for c in columns if c in flags or "category" in c]
+    found = category_lists(df, wanted, SMALL_CATEGORY)
+    for c in wanted:
+        values = found[c]
         if c in flags:
-            df = one_hot(df, c)
-        elif "category" in c:
-            values = categories(df, c, SMALL_CATEGORY, "nan")
-            df = label_encode(df, c) if values is None else df.withColumn(f"{c}_encoded", label_code(c, values))
+            df = one_hot(df, c, None if values is None else sorted(v for v in values if v is not None))
+        elif values is None:
+            df = label_encode(df, c)
+        else:
+            df = df.withColumn(f"{c}_encoded", label_code(c, sorted({"nan" if v is None else v for v in values})))
     return df
 
 

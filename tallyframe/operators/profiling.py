@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from tallyframe.operators.quantiles import exact_quantiles
 
 # Measures per aggregate: plain ones, and correlations with their larger buffers.
 WIDTH, PAIR_WIDTH = 30, 9
+# Beyond this many columns the pairs go through one matrix product.
+MANY_COLUMNS = 24
 
 
 def _lit_double(v: float | None) -> Column:
@@ -152,6 +157,8 @@ def high_skew(df: DataFrame, columns: Sequence[str] | None = None, threshold: fl
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Full correlation matrix in long form; each pair is computed once and mirrored."""
     columns = list(columns or numeric_columns(df))
+    if len(columns) > MANY_COLUMNS:
+        return _wide_correlations(df, columns)
     diagonal = [
         ({"feature_1": c, "feature_2": c}, {"correlation": F.when(F.var_pop(c) > 0, F.lit(1.0))}) for c in columns
     ]
@@ -166,6 +173,37 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return out
 
 
+def _wide_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """For many columns: one distributed product of the complete rows covers all pairs of
+    columns without gaps; only columns with NULLs need the pairwise form."""
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()) for c in columns]).first()
+    full = [c for c, n in zip(columns, nulls) if not n]
+    gaps = [c for c, n in zip(columns, nulls) if n]
+    pairs = [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a in gaps for b in full]
+    pairs += [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a, b in combinations(gaps, 2)]
+    out = long_rows(
+        df, [({"feature_1": c, "feature_2": c}, {"correlation": F.when(F.var_pop(c) > 0, F.lit(1.0))}) for c in columns]
+    )
+    if pairs:
+        found = long_rows(df, pairs, PAIR_WIDTH)
+        out = out.unionByName(found).unionByName(
+            found.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
+        )
+    if len(full) > 1:
+        vectors = VectorAssembler(inputCols=full, outputCol="v").transform(df.select(*full)).select("v")
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        cells = [
+            (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+            for i, a in enumerate(full)
+            for j, b in enumerate(full)
+            if i != j
+        ]
+        out = out.unionByName(
+            df.sparkSession.createDataFrame(cells, "feature_1 string, feature_2 string, correlation double")
+        )
+    return out
+
+
 def _upper_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each pair once, in column order."""
     pairs = [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a, b in combinations(columns, 2)]
@@ -175,7 +213,12 @@ def _upper_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
     """Pairs with a strong correlation, each once, in column order."""
     columns = list(columns or numeric_columns(df))
-    return _upper_correlations(df, columns).where(F.abs("correlation") > threshold)
+    if len(columns) > MANY_COLUMNS:
+        place = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
+        pairs = _wide_correlations(df, columns).where(place[F.col("feature_1")] < place[F.col("feature_2")])
+    else:
+        pairs = _upper_correlations(df, columns)
+    return pairs.where(F.abs("correlation") > threshold)
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 DIRECT_ROWS = 50_000
 BRACKET_ROWS = 20_000
 ACCURACY = 5_000
+# Columns bracketed at a time: each has several counters per quantile, and an aggregate with
+# too many of them leaves code generation. Every column is still read the same number of times.
+COLUMNS_AT_ONCE = 4
 
 
 @dataclass
@@ -62,9 +65,16 @@ def exact_quantiles(
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         row = values.agg(*[F.percentile(v, wanted) for v in values.columns]).first()
         return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
+    out: dict[str, list[float | None]] = {}
+    for start in range(0, len(columns), COLUMNS_AT_ONCE):
+        part = list(enumerate(columns))[start : start + COLUMNS_AT_ONCE]
+        out.update(_narrowed(values, part, [sizes[i + 1] for i, _ in part], probabilities, bracket_rows, accuracy))
+    return out
+
+
+def _narrowed(values, columns, sizes, probabilities, bracket_rows, accuracy):
     active = {}
-    for i, c in enumerate(columns):
-        n = sizes[i + 1]
+    for (i, c), n in zip(columns, sizes):
         for p in probabilities:
             pos = p * (n - 1)
             if n:
@@ -77,7 +87,7 @@ def exact_quantiles(
         ready = {k: r for k, r in active.items() if k not in found and r.inside <= bracket_rows}
         found.update(_pick(values, ready) if ready else {})
         active = {k: r for k, r in active.items() if k not in found}
-    return {c: [_between(found.get((c, p)), p, sizes[i + 1]) for p in probabilities] for i, c in enumerate(columns)}
+    return {c: [_between(found.get((c, p)), p, n) for p in probabilities] for (_, c), n in zip(columns, sizes)}
 
 
 def _between(pair, p, size):

@@ -199,8 +199,8 @@ def perf_last_n(log: DataFrame, n: int = 1000) -> DataFrame:
 
 def outside_two_sigma(log: DataFrame, hours: float | None = 24, as_of: AsOf = None, sigmas: float = 2.0) -> DataFrame:
     """Rows whose prediction lies outside mean ± ``sigmas`` sample deviations of the window."""
-    rows = log.where(F.col("prediction").isNotNull())
-    rows = rows if hours is None else since(rows, hours, moment(as_of, log))
+    rows = log if hours is None else since(log, hours, as_of)
+    rows = rows.where(F.col("prediction").isNotNull())
     value = prediction_value(rows)
     stats = rows.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))).scalar()
     return rows.where(_outside(value, stats, sigmas))
@@ -222,7 +222,7 @@ def outlier_ratio(
 
     Values that cannot be read as numbers count in the denominator only.
     """
-    rows = since(log, hours, moment(as_of, log)).where(F.col("prediction").isNotNull())
+    rows = since(log, hours, as_of).where(F.col("prediction").isNotNull())
     value = prediction_value(rows)
     stats = rows.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))).scalar()
     counted = rows.agg(

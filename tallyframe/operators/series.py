@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import ms_to_seconds
 from tallyframe.functions.payload import bound_label, error_class
-from tallyframe.functions.timing import at_second, moment, tick_after
+from tallyframe.functions.timing import at_second, moment, since, tick_after
 from tallyframe.operators.ordering import number_rows
 from tallyframe.operators.requestlog import AsOf, prediction_value
 
@@ -45,9 +45,7 @@ def metrics_from_requests(log: DataFrame) -> DataFrame:
 
 def metric_stats(metrics: DataFrame, name: str, hours: float = 24, as_of: AsOf = None) -> DataFrame:
     """count, avg, min, max, sum of one metric in the window; zeros when there is none."""
-    end = moment(as_of, metrics)
-    rows = metrics.where(F.col("metric_name") == name)
-    rows = rows.where(F.col("ts") > end - F.make_dt_interval(hours=F.lit(int(hours))))
+    rows = since(metrics, hours, as_of).where(F.col("metric_name") == name)
     v = "metric_value"
     zero = F.lit(0.0)
     return rows.agg(
@@ -168,7 +166,7 @@ def histogram_quantile(hist: DataFrame, q: float, labels: Sequence[str], out: st
 def gauges(log: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Current values as ``(metric, value)`` from one scan of the last 24 hours."""
     end = moment(as_of, log)
-    day = log.where(F.col("ts") > end - F.expr("INTERVAL 24 HOURS"))
+    day = since(log, 24, as_of)
     value = prediction_value(day)
     one = day.agg(
         F.count_if(F.col("ts") > end - F.expr("INTERVAL 1 HOUR")).cast("double").alias("predictions_last_hour"),
@@ -199,13 +197,10 @@ def assign_batches(
     log: DataFrame, size: int = 10, keys: Sequence[str] = ("endpoint",), order: Sequence[str] = ("ts", "id"), **options
 ) -> DataFrame:
     """Consecutive groups of ``size`` per key; the incomplete rest has no batch yet (NULL)."""
-    numbered = number_rows(log, keys, order, "_no", **options)
-    sizes = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n")
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    numbered = number_rows(log, keys, order, "_no", "_size", **options)
     batch = F.floor((F.col("_no") - 1) / size).cast("long")
-    complete = (batch + 1) * size <= F.col("_n")
-    return numbered.join(sizes, same, "left").select(*log.columns, F.when(complete, batch).alias("batch_id"))
+    complete = (batch + 1) * size <= F.col("_size")
+    return numbered.select(*log.columns, F.when(complete, batch).alias("batch_id"))
 
 
 def batch_stats(batched: DataFrame, keys: Sequence[str] = ("endpoint", "batch_id")) -> DataFrame:
@@ -311,8 +306,7 @@ def time_heatmap(log: DataFrame, window_seconds: int = 300, bounds: Sequence[flo
 def rate_by_horizon(log: DataFrame, horizons: Sequence[int] = (1, 6, 24, 168), as_of: AsOf = None) -> DataFrame:
     """Predictions per hour over several look-back horizons, in one scan of the longest."""
     end = moment(as_of, log)
-    made = log.where(F.col("prediction").isNotNull())
-    made = made.where(F.col("ts") > end - F.make_dt_interval(hours=F.lit(int(max(horizons)))))
+    made = since(log, max(horizons), as_of).where(F.col("prediction").isNotNull())
     one = made.agg(
         *[F.count_if(F.col("ts") > end - F.make_dt_interval(hours=F.lit(int(h)))).alias(f"h{h}") for h in horizons]
     )
@@ -332,7 +326,7 @@ def prediction_deviation(
 ) -> DataFrame:
     """Shift of the mean prediction against the period before it, in percent."""
     end = moment(as_of, log)
-    rows = log.where(F.col("ts") > end - F.make_dt_interval(hours=F.lit(recent_hours + baseline_hours)))
+    rows = since(log, recent_hours + baseline_hours, as_of)
     value = prediction_value(rows)
     is_recent = F.col("ts") > end - F.make_dt_interval(hours=F.lit(recent_hours))
     one = rows.agg(

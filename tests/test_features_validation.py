@@ -161,3 +161,14 @@ def test_engineering_chain(spark):
     scaled = out.select([c for c in out.columns if c.endswith("_scaled")]).toPandas()
     assert abs(scaled.mean()).max() < 1e-9
     assert feat.engineer_features(df, scale=False, transform=False).columns.count("total_rooms_log") == 0
+
+
+def test_category_lists(spark):
+    rows = [(f"k{i}", "x" if i % 2 else None, "one") for i in range(60)]
+    df = spark.createDataFrame(rows, "many string, few string, single string")
+    assert {k: v if v is None else set(v) for k, v in feat.category_lists(df, ["few", "single"], 5).items()} == {
+        "few": {"x", None},
+        "single": {"one"},
+    }
+    got = feat.category_lists(df, ["many", "few", "single"], 5)
+    assert got["many"] is None and set(got["few"]) == {"x", None} and got["single"] == ["one"]

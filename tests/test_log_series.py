@@ -171,3 +171,23 @@ def test_category_ties_go_to_the_smaller_value(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), ("c",)], "s string")
     row = profiling.categorical(df).first()
     assert (row.unique_values, row.most_frequent, row.most_frequent_count) == (3, "a", 2)
+
+
+def test_wide_correlations_match_pairwise(spark, monkeypatch):
+    from tallyframe.operators import profiling
+
+    df = spark.range(200).select(
+        F.rand(1).alias("a"),
+        (F.rand(1) * 2 + F.rand(2)).alias("b"),
+        F.when(F.rand(3) > 0.3, F.rand(4)).alias("gap"),
+        F.when(F.rand(5) > 0.3, F.rand(4)).alias("gap2"),
+        F.lit(1.0).alias("constant"),
+    ).cache()
+    key = lambda r: (r.feature_1, r.feature_2)
+    narrow = {key(r): r.correlation for r in profiling.correlations(df).collect()}
+    strong = {key(r) for r in profiling.high_correlations(df).collect()}
+    monkeypatch.setattr(profiling, "MANY_COLUMNS", 2)
+    wide = {key(r): r.correlation for r in profiling.correlations(df).collect()}
+    assert set(wide) == set(narrow) and len(wide) == 25
+    assert all(wide[k] == (pytest.approx(v) if v is not None else None) for k, v in narrow.items())
+    assert {key(r) for r in profiling.high_correlations(df).collect()} == strong == {("a", "b")}
