@@ -8,6 +8,7 @@ from tallyframe.catalog.cleaning import clean_sql
 from tallyframe.catalog.features import engineered_sql
 from tallyframe.catalog.log import OUTLIER_SQL
 from tallyframe.catalog.registry import over, query, r, tidy
+from tallyframe.catalog.validation import business_errors
 from tallyframe.functions.timing import newest
 from tallyframe.operators import evaluation, registry, retraining
 from tallyframe.plans import scoring, training, workflow
@@ -180,6 +181,15 @@ ROOMS = {
 }
 
 
+# One input and no categories: the fit is a simple regression, which SQL can repeat.
+ONE_INPUT = {"numeric": ("population",), "ratios": {}, "log_columns": ("population",), "category": None, "target": "total_rooms"}
+HASH = "CAST('0x' || substr(md5(CAST(block_id AS VARCHAR) || '|42'), 1, 8) AS BIGINT)"
+FITTED = clean_sql(500000) + f""",
+  train AS (SELECT ln(1e0 + population) AS x, total_rooms AS y FROM clean WHERE {HASH} % 10000 >= 2000),
+  fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS cut FROM train)"""
+PREDICTED = "(cut + slope * ln(1e0 + population))"
+
+
 def _data(spark, folder):
     """Written once: training passes over it many times."""
     path = new_folder(spark, "training")
@@ -196,6 +206,13 @@ def _trained(spark, folder, kind: str, **options):
     return labelled, training.train_track(labelled, _spec(kind, **options))
 
 
+def _one_input(spark, folder):
+    """A model of one input and the rows it was fitted from."""
+    labelled = split_train_test(_data(spark, folder), "block_id")
+    model, run = training.train_track(labelled, training.ModelSpec("one_input", "linear", **ONE_INPUT))
+    return labelled, model, run
+
+
 def _metrics(runs):
     names = ("train_rmse", "train_r2", "test_rmse", "test_r2")
     return tidy(runs.select("run_name", *[F.col("metrics")[n].alias(n) for n in names]), 4)
@@ -216,16 +233,36 @@ def _(spark, folder):
     return _metrics(_trained(spark, folder, "forest", numTrees=10)[1][1])
 
 
-@query("train_track")
+@query("train_candidates")
 def _(spark, folder):
     """All candidates on one split, best first."""
     _, runs = training.train_models(_data(spark, folder), "block_id", [_spec("linear"), _spec("tree")])
     return tidy(registry.compare_models(runs), 4)
 
 
-@query("eval_cv")
+def _side(split: str, condition: str) -> str:
+    return f"""{split} AS (SELECT sqrt(avg((y - p) * (y - p))) AS rmse, 1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)) AS r2
+    FROM (SELECT total_rooms AS y, {PREDICTED} AS p FROM clean, fit WHERE {HASH} % 10000 {condition} 2000))"""
+
+
+@query("train_track", over("blocks", FITTED + f""", {_side('a', '>=')}, {_side('b', '<')}
+SELECT 'one_input' AS run_name, 'linear' AS model_type, {r('a.rmse', 4)} AS train_rmse, {r('a.r2', 4)} AS train_r2,
+  {r('b.rmse', 4)} AS test_rmse, {r('b.r2', 4)} AS test_r2 FROM a, b"""))
 def _(spark, folder):
-    return tidy(training.cross_validate(_data(spark, folder), "block_id", _spec("linear"), 3)[1], 4)
+    """The recorded run of a model with one input."""
+    run = _one_input(spark, folder)[2]
+    return _metrics(run).join(run.select("run_name", F.col("params")["model_type"].alias("model_type")), "run_name")
+
+
+@query("eval_cv", over("blocks", clean_sql(500000) + f""",
+  d AS (SELECT ln(1e0 + population) AS x, total_rooms AS y, {HASH} % 3 AS fold FROM clean),
+  fits AS (SELECT f, regr_slope(y, x) AS slope, regr_intercept(y, x) AS cut FROM d JOIN (SELECT unnest([0, 1, 2]) AS f) ON fold <> f GROUP BY f),
+  per_fold AS (SELECT fold, avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - sum(e * e) / (count(*) * var_pop(y)) AS r2
+    FROM (SELECT fold, y, y - cut - slope * x AS e FROM d JOIN fits ON fold = f) GROUP BY fold)
+""" + "\nUNION ALL ".join(f"SELECT '{m}' AS metric, {r(f'avg({m})', 4)} AS mean, {r(f'stddev_pop({m})', 4)} AS std FROM per_fold" for m in ("mse", "mae", "r2"))))
+def _(spark, folder):
+    spec = training.ModelSpec("one_input", "linear", **ONE_INPUT)
+    return tidy(training.cross_validate(_data(spark, folder), "block_id", spec, 3)[1], 4)
 
 
 @query("feature_importance")
@@ -261,18 +298,28 @@ def _(spark, folder):
     return tidy(again.transform(data))
 
 
-@query("score_batch")
+@query("score_batch", over("blocks", FITTED + f"""
+SELECT block_id AS id, TIMESTAMP '2024-02-01 00:00:00' AS ts, 'batch' AS endpoint, 'POST' AS method, population, {r(PREDICTED, 4)} AS prediction,
+  {r('1000e0 / (SELECT count(*) FROM clean)', 4)} AS processing_time_ms, 200 AS status_code FROM clean, fit"""))
 def _(spark, folder):
-    data, (model, _) = _trained(spark, folder, "linear")
-    ts = F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'")
-    return tidy(scoring.score_batch(model, data, ts, total_ms=1000.0, key="block_id"), 4)
+    """Log rows of a scored table; one input is read back from the logged payload."""
+    data, model, _run = _one_input(spark, folder)
+    rows = scoring.score_batch(model, data, F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'"), total_ms=1000.0, key="block_id")
+    logged = F.get_json_object("input_data", "$.population").cast("double").alias("population")
+    return tidy(rows.select("id", "ts", "endpoint", "method", logged, "prediction", "processing_time_ms", "status_code"), 4)
+
 
+def validated_sql(key: str) -> str:
+    return over("blocks", FITTED + f""", e AS (SELECT *, {business_errors()} AS t FROM blocks)
+SELECT block_id AS {key}, CASE WHEN t = '' THEN {r(PREDICTED, 4)} END AS prediction, CASE WHEN t = '' THEN 200 ELSE 400 END AS status_code,
+  CASE WHEN t <> '' THEN 'Input validation failed: ' || t END AS error_message FROM e, fit""")
 
-@query("score_validated")
+
+@query("score_validated", validated_sql("block_id"))
 def _(spark, folder):
-    model = _trained(spark, folder, "linear")[1][0]
-    table = views.blocks(spark, folder)
-    return tidy(scoring.score_validated(model, table).select("block_id", "prediction", "status_code", "error_message"), 4)
+    model = _one_input(spark, folder)[1]
+    scored = scoring.score_validated(model, views.blocks(spark, folder))
+    return tidy(scored.select("block_id", "prediction", "status_code", "error_message"), 4)
 
 
 @query("score_validated_log", over("blocks", """+ v AS (SELECT *, longitude BETWEEN -124.5 AND -114.0 AND latitude BETWEEN 32.0 AND 42.0 AND housing_median_age BETWEEN 0 AND 100

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.catalog.models import ROOMS, _data
+from tallyframe.catalog.models import _one_input, validated_sql
 from tallyframe.catalog.registry import over, query, r, tidy
 from tallyframe.catalog.series import AT, TIME
 from tallyframe.operators import series
-from tallyframe.operators.cleaning import split_train_test
-from tallyframe.plans import scoring, training
+from tallyframe.plans import scoring
 from tallyframe.session import new_folder
 from tallyframe.sources import tables, views
 from tallyframe.streaming import jobs
@@ -91,17 +90,25 @@ def _(spark, folder):
     return out.select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "endpoint")
 
 
-@query("stream_batch_stats")
+@query("stream_batch_stats", over("requests", """+ n AS (SELECT endpoint, CAST(CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 4 AS INTEGER) AS shard, count(*) AS n
+    FROM requests WHERE prediction IS NOT NULL GROUP BY 1, 2)
+SELECT endpoint, shard, n // 10 AS batches, n // 10 * 10 AS predictions, true AS ordered FROM n WHERE n >= 10"""))
 def _(spark, folder):
-    return tidy(_appended(spark, jobs.batch_stats_stream(_stream(spark, folder)), "batches"), 4)
-
-
-@query("stream_score")
+    """Batches per endpoint and shard. Which rows meet in a batch depends on arrival, so the
+    statistics are only checked for their order."""
+    out = _appended(spark, jobs.batch_stats_stream(_stream(spark, folder), shards=4), "batches")
+    ordered = (F.col("min_prediction") <= F.col("avg_prediction")) & (F.col("avg_prediction") <= F.col("max_prediction"))
+    return out.groupBy("endpoint", "shard").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum(F.col("batch_size").cast("long")).alias("predictions"),
+        F.bool_and(ordered).alias("ordered"),
+    )
+
+
+@query("stream_score", validated_sql("id"))
 def _(spark, folder):
     """Feature rows as JSON requests, scored and logged as they come."""
-    data = _data(spark, folder)
-    spec = training.ModelSpec("linear", "linear", **ROOMS)
-    model, _run = training.train_track(split_train_test(data, "block_id"), spec)
+    model = _one_input(spark, folder)[1]
     raw = new_folder(spark, "raw")
     table = views.blocks(spark, folder)
     table.select(
@@ -130,11 +137,12 @@ def _(spark, folder):
     return _appended(spark, stream, "arrived").drop("file_path")
 
 
-@query("stream_new_data_trigger")
+@query("stream_new_data_trigger", """SELECT l_returnflag AS flag, 'new_data' AS reason, 'triggered' AS status FROM lineitem GROUP BY 1 HAVING count(*) >= 100""")
 def _(spark, folder):
-    """Retraining events for the files with enough rows, here all of them."""
+    """Folders that got at least one file with enough rows."""
     path, schema = _csv_folder(spark, folder)
     events = new_folder(spark, "events")
     stream = jobs.new_files(spark, path, schema)
     jobs.start_new_data_trigger(stream, events, new_folder(spark, "trigger-progress")).awaitTermination()
-    return tables.scan_log(spark, events).groupBy("reason", "status").agg(F.count(F.lit(1)).alias("events"))
+    flag = F.regexp_extract("details", "flag=([^/]+)/", 1).alias("flag")
+    return tables.scan_log(spark, events).select(flag, "reason", "status").distinct()

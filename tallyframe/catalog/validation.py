@@ -60,6 +60,11 @@ def _errors(cases: list[str]) -> str:
     return "concat_ws('; ', " + ",\n  ".join(cases) + ")"
 
 
+def business_errors() -> str:
+    """SQL text of a row's errors under the business rules; empty for a valid row."""
+    return _errors(BUSINESS)
+
+
 def _rows_sql(cases: list[str]) -> str:
     return over("blocks", f"""+ e AS (SELECT block_id, {_errors(cases)} AS t FROM blocks)
 SELECT block_id, t = '' AS is_valid, t AS errors FROM e""")

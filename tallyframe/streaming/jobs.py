@@ -20,6 +20,7 @@ from tallyframe.functions.numeric import ms_to_seconds
 from tallyframe.functions.payload import parse_payload
 from tallyframe.functions.timing import hour_text
 from tallyframe.operators import alerts
+from tallyframe.operators.cleaning import hash_bucket
 from tallyframe.operators.retraining import retraining_event
 from tallyframe.operators.series import TIME_BOUNDS, on_spine
 from tallyframe.operators.validation import BUSINESS, RuleSet
@@ -144,7 +145,7 @@ def batch_stats_stream(log: DataFrame, size: int = 10, shards: int = 16) -> Data
 
     made = log.where(F.col("prediction").isNotNull()).select(
         "endpoint",
-        F.pmod(F.hash("id"), F.lit(shards)).alias("shard"),
+        hash_bucket("id", buckets=shards).cast("int").alias("shard"),
         F.col("prediction").cast("double"),
         F.col("processing_time_ms").cast("double"),
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import evaluation, registry, retraining
-from tallyframe.operators.cleaning import split_train_test
+from tallyframe.operators.cleaning import hash_bucket, split_train_test
 from tallyframe.operators.validation import NUMERIC_FIELDS
 from tallyframe.plans import scoring, training, workflow
 from tallyframe.session import new_folder
@@ -247,6 +247,6 @@ def test_stream_batches_hold_back_the_rest(spark):
     jobs.start_append(jobs.batch_stats_stream(stream, shards=4), out, new_folder(spark, "progress")).awaitTermination()
     got = spark.read.parquet(out).groupBy("endpoint", "shard").count().toPandas().set_index(["endpoint", "shard"])["count"]
     made = views.requests(spark, SMALL).where("prediction is not null")
-    sizes = made.groupBy("endpoint", F.pmod(F.hash("id"), F.lit(4)).alias("shard")).count().toPandas()
+    sizes = made.groupBy("endpoint", hash_bucket("id", buckets=4).alias("shard")).count().toPandas()
     want = sizes.set_index(["endpoint", "shard"])["count"] // 10
     assert got.to_dict() == {k: v for k, v in want.to_dict().items() if v}
