@@ -44,10 +44,10 @@ def new_files(spark: SparkSession, folder: str, schema: T.StructType | str, file
     )
 
 
-def table_stream(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
+def table_stream(spark: SparkSession, path: str, ts: str = "ts", files_per_batch: int = 1000) -> DataFrame:
     """A growing Parquet table as a stream with ``timestamp`` event time."""
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     return stream.withColumn(ts, F.col(ts).cast("timestamp")) if ts in stream.columns else stream
 
 
@@ -126,8 +126,9 @@ def batch_stats_stream(log: DataFrame, size: int = 10, shards: int = 16) -> Data
     def collect(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         made, values, times = state.get if state.exists else (0, [], [])
         values, times = list(values), list(times)
-        out = []
+        names = [f.split()[0] for f in BATCH_STATS_SCHEMA.split(", ")]
         for frame in frames:
+            out = []
             values += frame["prediction"].tolist()
             times += frame["processing_time_ms"].tolist()
             full = len(values) - len(values) % size
@@ -138,10 +139,9 @@ def batch_stats_stream(log: DataFrame, size: int = 10, shards: int = 16) -> Data
                 )
                 made += 1
             values, times = values[full:], times[full:]
+            if out:
+                yield pd.DataFrame(out, columns=names)
         state.update((made, values, times))
-        names = [f.split()[0] for f in BATCH_STATS_SCHEMA.split(", ")]
-        if out:
-            yield pd.DataFrame(out, columns=names)
 
     made = log.where(F.col("prediction").isNotNull()).select(
         "endpoint",
@@ -159,21 +159,26 @@ def batch_stats_stream(log: DataFrame, size: int = 10, shards: int = 16) -> Data
 
 
 # --- sinks ----------------------------------------------------------------------------------------
+#
+# ``trigger`` takes the arguments of ``DataStreamWriter.trigger``; by default a query processes
+# what is there and stops.
+
+DRAIN = {"availableNow": True}
 
 
-def start_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Exactly-once Parquet files, processing what is there and then stopping."""
+def start_append(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Exactly-once Parquet files."""
     return (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
 
 
-def start_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def start_changes(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Update-mode results as a change log, one folder per micro-batch. A replayed batch
     overwrites its own folder."""
 
@@ -184,7 +189,7 @@ def start_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode("update")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
 
@@ -198,7 +203,12 @@ def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def start_new_data_trigger(
-    files: DataFrame, events_path: str, checkpoint: str, min_rows: int = 100, enabled: bool = True
+    files: DataFrame,
+    events_path: str,
+    checkpoint: str,
+    min_rows: int = 100,
+    enabled: bool = True,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """A retraining event per new file with enough rows."""
 
@@ -214,7 +224,7 @@ def start_new_data_trigger(
     return (
         files.writeStream.foreachBatch(check)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
 
@@ -227,41 +237,44 @@ def start_alerts(
     percent: float = 5.0,
     hold_seconds: int = 120,
     step_seconds: int = 60,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Error-rate alert with hold time over closed windows of ``rate_stream``.
 
-    Each micro-batch stores its windows and judges them together with the hold time before
-    its first tick, so the work per batch does not grow with the history.
+    Each micro-batch stores its windows together with those of the hold time before them,
+    taken from the batch before, and judges the new ones. A batch reads one earlier folder
+    only, so its work does not grow with the history, and a replayed batch writes the same.
     """
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seconds = F.unix_timestamp("end_ts")
-        batch.select(seconds.alias("tick"), "requests", "errors").write.mode("overwrite").parquet(
-            f"{windows_path}/batch_id={batch_id}"
-        )
-        mine = spark.read.parquet(f"{windows_path}/batch_id={batch_id}")
-        first, last = mine.agg(F.min("tick"), F.max("tick")).first()
-        if first is None:
+        known = batch.select(F.unix_timestamp("end_ts").alias("tick"), "requests", "errors", F.lit(True).alias("is_new"))
+        if batch_id > 0:
+            before = spark.read.parquet(f"{windows_path}/batch_id={batch_id - 1}")
+            tail = before.where(F.col("tick") >= before.agg(F.max("tick") - hold_seconds).scalar())
+            known = known.unionByName(tail.withColumn("is_new", F.lit(False)))
+        folder = f"{windows_path}/batch_id={batch_id}"
+        known.write.mode("overwrite").parquet(folder)
+        stored = spark.read.parquet(folder)
+        is_new, tick = F.col("is_new"), F.col("tick")
+        judged_to, new_from, start, last = stored.agg(
+            F.max(F.when(~is_new, tick)), F.min(F.when(is_new, tick)), F.min(tick), F.max(tick)
+        ).first()
+        if new_from is None:
             return
-        stored = spark.read.parquet(windows_path).where(F.col("batch_id") <= batch_id)
-        stored = stored.where(F.col("tick") >= first - hold_seconds).drop("batch_id")
-        start = stored.agg(F.min("tick")).first()[0]
+        if judged_to is not None:
+            new_from = judged_to + step_seconds  # ticks without events between the batches count too
         spine = spark.range(start, last + 1, step_seconds).select(F.col("id").alias("tick"))
         filled = on_spine(stored, spine, ["requests", "errors"])
         values = filled.select("tick", F.try_divide(F.col("errors") * 100.0, F.col("requests")).alias("value"))
         out = alerts.judged(values, "high_error_rate", "warning", F.col("value") > percent, hold_seconds, step_seconds)
-        at_first = F.timestamp_seconds(F.lit(first)).cast("timestamp_ntz")
-        out.where(F.col("tick_ts") >= at_first).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        first = F.timestamp_seconds(F.lit(new_from)).cast("timestamp_ntz")
+        out.where(F.col("tick_ts") >= first).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
 
     return (
         rates.writeStream.foreachBatch(judge)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**(trigger or DRAIN))
         .start()
     )
-
-
-def event_time(ts: str = "ts") -> Column:
-    return F.col(ts).cast("timestamp")

@@ -250,3 +250,29 @@ def test_stream_batches_hold_back_the_rest(spark):
     sizes = made.groupBy("endpoint", hash_bucket("id", buckets=4).alias("shard")).count().toPandas()
     want = sizes.set_index(["endpoint", "shard"])["count"] // 10
     assert got.to_dict() == {k: v for k, v in want.to_dict().items() if v}
+
+
+def test_stream_alerts_over_several_batches_match_the_batch_form(spark, tmp_path):
+    """Four files, one per micro-batch: holding across batches gives the same alerts as one batch."""
+    log = spark.read.parquet(f"{SMALL}/events.parquet")
+    source = new_folder(spark, "sliced")
+    for i, (lo, hi) in enumerate([(1, 8), (8, 15), (15, 22), (22, 32)]):
+        log.where(F.dayofmonth("ts").between(lo, hi - 1)).coalesce(1).write.mode("append").parquet(source)
+
+    def alerts_of(files_per_batch):
+        stream = views.events_as_requests(jobs.table_stream(spark, source, files_per_batch=files_per_batch))
+        rates = jobs.rate_stream(stream, "2 hours", "30 minutes", "1 hour")
+        found = new_folder(spark, "alerts")
+        jobs.start_alerts(
+            rates, new_folder(spark, "windows"), found, new_folder(spark, "progress"), 20.0, 3600, 1800
+        ).awaitTermination()
+        got = spark.read.parquet(found)
+        return got.select("batch_id").distinct().count(), got.drop("batch_id").distinct().toPandas().sort_values("tick_ts")
+
+    one, whole = alerts_of(100)
+    many, parts = alerts_of(1)
+    assert many > one
+    both = whole.merge(parts, on="tick_ts", suffixes=("", "_parts"))
+    assert len(both) == len(whole) == len(parts)
+    pd.testing.assert_series_equal(both.value, both.value_parts, check_names=False)
+    assert (both.firing == both.firing_parts).all() and both.firing.any()
