@@ -16,7 +16,7 @@ def newest(df: DataFrame, ts: str = "ts") -> Column:
 
 
 def moment(value: dt.datetime | Column | None, df: DataFrame, ts: str = "ts") -> Column:
-    """The reference point of a look-back window. ``None`` means the newest row."""
+    """The end of a look-back window. ``None`` means the newest row."""
     if value is None:
         return newest(df, ts)
     return value if isinstance(value, Column) else F.lit(value)

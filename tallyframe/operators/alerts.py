@@ -2,7 +2,8 @@
 
 Every rule yields one row per evaluation tick: ``(rule, severity, tick_ts, value, active,
 firing)``. ``active`` is the condition at the tick, ``firing`` that it held for the whole
-hold time. Data is reduced to one row per tick first, so windows only see ticks.
+hold time. Data is reduced to one row per tick first, so windows only see ticks, and only a
+bounded stretch of them.
 """
 
 from __future__ import annotations
@@ -17,14 +18,34 @@ from tallyframe.functions.payload import bound_label
 from tallyframe.functions.timing import at_second
 from tallyframe.operators.series import TIME_BOUNDS, cells, histogram_quantile, on_spine, sliding, tick_spine
 
+# Ticks per window partition when the hold time is checked.
+STRETCH = 10_000
 
-def hold(ticks: DataFrame, active: str, steps: int, rule: str = "rule", order: str = "tick") -> Column:
+
+def hold(active: str, steps: int, by: Sequence[str] = ("rule",), order: str = "tick") -> Column:
     """Condition true now and at each of the ``steps`` ticks before; false while history is short."""
-    recent = Window.partitionBy(rule).orderBy(order).rowsBetween(-steps, 0)
+    recent = Window.partitionBy(*by).orderBy(order).rowsBetween(-steps, 0)
     flag = F.coalesce(F.col(active), F.lit(False)).cast("int")
     return (F.min(flag).over(recent) == 1) & (F.count(F.lit(1)).over(recent) == steps + 1)
 
 
+def with_firing(
+    ticks: DataFrame, active: str, steps: int, step_seconds: int, by: Sequence[str] = ("rule",), stretch: int = STRETCH
+) -> DataFrame:
+    """Add ``firing`` to evenly spaced ticks of any number.
+
+    The ticks are cut into stretches, each preceded by the ticks its hold time reaches back
+    to, so no window sees more than a stretch and its lead-in.
+    """
+    width = max(stretch, steps + 1) * step_seconds
+    own = F.floor(F.col("tick") / width)
+    leads_in = F.col("tick") + steps * step_seconds >= (own + 1) * width
+    copies = F.explode(F.when(leads_in, F.array(own, own + 1)).otherwise(F.array(own)))
+    placed = ticks.withColumn("_own", own).withColumn("_stretch", copies)
+    judged_rows = placed.withColumn("firing", hold(active, steps, (*by, "_stretch")))
+    return judged_rows.where(F.col("_stretch") == F.col("_own")).drop("_own", "_stretch")
+
+
 def judged(
     values: DataFrame, rule: str, severity: str, active: Column, hold_seconds: int, step_seconds: int
 ) -> DataFrame:
@@ -32,13 +53,13 @@ def judged(
     if hold_seconds % step_seconds:
         raise ValueError("the hold time must be a multiple of the step")
     ticks = values.withColumn("rule", F.lit(rule)).withColumn("active", F.coalesce(active, F.lit(False)))
-    return ticks.select(
+    return with_firing(ticks, "active", hold_seconds // step_seconds, step_seconds).select(
         "rule",
         F.lit(severity).alias("severity"),
         at_second(F.col("tick")).alias("tick_ts"),
         F.col("value").cast("double").alias("value"),
         "active",
-        hold(ticks, "active", hold_seconds // step_seconds).alias("firing"),
+        "firing",
     )
 
 

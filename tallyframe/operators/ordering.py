@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.session import ensure_checkpoint_dir
 
-WINDOW_ROWS = 5_000_000
+WINDOW_ROWS = 1_000_000
 BROADCAST_RUNS = 200_000
 _POSITION_BITS = 33
 

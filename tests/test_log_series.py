@@ -136,10 +136,18 @@ def test_sliding_counts_match_brute_force(spark):
 
 def test_hold_needs_full_history(spark):
     ticks = spark.createDataFrame([("r", i, a) for i, a in enumerate([True, True, True, False, True, True, True])], "rule string, tick long, active boolean")
-    got = [r.f for r in ticks.withColumn("f", alerts.hold(ticks, "active", 2)).orderBy("tick").collect()]
+    got = [r.f for r in ticks.withColumn("f", alerts.hold("active", 2)).orderBy("tick").collect()]
     assert got == [False, False, True, False, False, False, True]
 
 
+@pytest.mark.parametrize("steps,stretch", [(0, 5), (3, 5), (9, 4), (3, 10_000)])
+def test_firing_across_stretches_matches_brute_force(spark, steps, stretch):
+    active = [(i * i) % 11 != 3 and i % 17 != 5 for i in range(120)]
+    ticks = spark.createDataFrame([("r", 7200 + 60 * i, a) for i, a in enumerate(active)], "rule string, tick long, active boolean")
+    got = [r.firing for r in alerts.with_firing(ticks, "active", steps, 60, stretch=stretch).orderBy("tick").collect()]
+    assert got == [i >= steps and all(active[i - steps : i + 1]) for i in range(120)]
+
+
 def test_silence_fires_the_no_predictions_alert(spark):
     data = log(spark, [(1, 0, "1", 1.0, 200), (2, 3600, "1", 1.0, 200)])
     out = alerts.no_predictions(data).orderBy("tick_ts").collect()
