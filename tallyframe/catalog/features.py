@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from tallyframe.catalog.registry import over, query, r, tidy
 from tallyframe.functions.numeric import ms_to_seconds
 from tallyframe.functions.payload import error_class
