@@ -57,6 +57,8 @@ def shared_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("executors share no folder: set spark.checkpoint.dir to one that all of them reach")
     fallback = tempfile.mkdtemp(prefix="tallyframe-")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
