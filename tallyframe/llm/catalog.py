@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import simhash
+from tallyframe.llm import lines, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,40 @@ def op9_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of four-word shingles and the components of links at four or fewer bits."""
     found = simhash.near_copies(table(spark, folder, "documents"), words=4, radius=4)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+MIN_LINES = 2
+
+
+@query(
+    "op8_line_winnowing",
+    """
+    WITH cut AS (
+      SELECT doc_id, generate_subscripts(ls, 1) AS place, unnest(ls) AS line
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
+    ), numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i FROM cut WHERE trim(line) <> ''
+    ), pairs AS (
+      SELECT doc_id, i, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next_line FROM numbered
+    ), later AS (
+      SELECT doc_id, i FROM pairs WHERE next_line IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, i) > 1
+    ), gone AS (
+      SELECT doc_id, i FROM later UNION SELECT doc_id, i + 1 FROM later
+    ), marked AS (
+      SELECT c.doc_id, c.place, c.line, n.i, g.i AS gone_i
+      FROM cut c LEFT JOIN numbered n USING (doc_id, place) LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.i = n.i
+    ), kept AS (
+      SELECT doc_id, string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone_i IS NULL) AS text,
+        count(i) AS n_lines, count(gone_i) AS n_removed
+      FROM marked GROUP BY doc_id
+    )
+    SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+      coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
+    FROM documents d LEFT JOIN kept k USING (doc_id)
+    """,
+)
+def op8_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the runs of two or more lines that also start earlier."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.drop_repeated_lines(docs, MIN_LINES).select("doc_id", "text", "n_lines", "n_removed")
