@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import lines, simhash
+from tallyframe.llm import lines, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,13 @@ def op9_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@query("op6_seed_extend")
+def op6_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of every document less its passages of 20 words that start earlier."""
+    kept = substrings.drop_repeated_passages(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 MIN_LINES = 2
 
 
