@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import lines, simhash, substrings
+from tallyframe.llm import lines, packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,20 @@ def op9_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_pattern_packing")
+def op4_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids."""
+    docs = table(spark, folder, "documents")
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), packing.SIZE, with_ids=False)
+
+
 @query("op6_seed_extend")
 def op6_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of every document less its passages of 20 words that start earlier."""
