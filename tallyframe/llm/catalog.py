@@ -29,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op9_simhash_vp")
 def op9_simhash_vp(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of four-word shingles and the components of links at four or fewer bits."""
-    found = simhash.near_copies(table(spark, folder, "documents"), words=4, radius=4)
+    found = simhash.near_copies(table(spark, folder, "documents"), simhash.Rule(words=4, radius=4))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 

@@ -12,7 +12,9 @@ inside the shards. Every pair that is met is checked on all 64 bits, so links ar
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -20,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.words import Texts, pieces, signed
+from tallyframe.llm.words import Texts, mixed, pieces, signed
 from tallyframe.session import ensure_checkpoint_dir
 
 SEED = 42
 SAMPLE_ROWS = 20_000  # fingerprints that shape the upper levels of the trees
 SHARD_ROWS = 20_000  # fingerprints a shard should hold
 LEAF_ROWS = 96
-BLOCK_ROWS = 256  # rows compared at once with a leaf
+PAIRS_AT_ONCE = 1 << 20
 
 # Eight counters of one byte in a 64-bit word: the bits of a byte, one per counter. A counter holds LANE_ROWS ones.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
@@ -40,46 +42,70 @@ def _hashes(text: bytes, starts: list[int], ends: list[int]) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(text[s:e], SEED) for s, e in zip(starts, ends)), dtype=np.uint64, count=len(starts))
 
 
-def _fingerprints(texts: Texts, words: int) -> np.ndarray:
-    """One fingerprint per row: bits set in more than half of the hashes of its word shingles."""
+def _fingerprints(texts: Texts, words: int, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """``width`` times 64 bits per row, and its number of shingles: bits set in more than half of the
+    hashes of the row's word shingles. Words after the first come from mixing the same hashes."""
     joined, begins, ends = texts.joined()
     counts = texts.counts
     shingles = np.where(counts == 0, 0, np.maximum(counts - words + 1, 1))
-    out = np.zeros(texts.rows, dtype=np.uint64)
-    some = np.flatnonzero(shingles)
-    if not len(some):
-        return out
+    out = np.zeros((texts.rows, width), dtype=np.uint64)
+    if not shingles.any():
+        return out, shingles
     first_shingle = np.cumsum(shingles) - shingles
     place = np.arange(int(shingles.sum())) - np.repeat(first_shingle, shingles) + np.repeat(texts.firsts[:-1], shingles)
     last = np.minimum(place + words - 1, np.repeat(texts.firsts[1:], shingles) - 1)
     hashes = _hashes(joined, begins[place].tolist(), ends[last].tolist())
-    ones = np.zeros((texts.rows, 64), dtype=np.int64)
     rows = np.repeat(np.arange(texts.rows), shingles)
     run = (np.arange(len(hashes)) - np.repeat(first_shingle, shingles)) % LANE_ROWS
-    for at in range(0, len(hashes), PART_ROWS):
-        part = SPREAD[hashes[at : at + PART_ROWS].view(np.uint8).reshape(-1, 8)]
-        begin = run[at : at + PART_ROWS] == 0
-        begin[0] = True
-        heads = np.flatnonzero(begin)
-        lanes = np.add.reduceat(part, heads, axis=0).view(np.uint8).reshape(len(heads), 64)
-        np.add.at(ones, rows[at + heads], lanes)
-    set_bits = (2 * ones > shingles[:, None]).astype(np.uint8)
-    out[:] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
-
-
-def fingerprints(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) of every row; a text without words (or null) has fingerprint zero."""
+    for k in range(width):
+        ones = np.zeros((texts.rows, 64), dtype=np.int64)
+        for at in range(0, len(hashes), PART_ROWS):
+            part = hashes[at : at + PART_ROWS]
+            part = mixed(part + np.uint64(k)) if k else part
+            begin = run[at : at + PART_ROWS] == 0
+            begin[0] = True
+            heads = np.flatnonzero(begin)
+            lanes = np.add.reduceat(SPREAD[part.view(np.uint8).reshape(-1, 8)], heads, axis=0)
+            np.add.at(ones, rows[at + heads], lanes.view(np.uint8).reshape(len(heads), 64))
+        set_bits = (2 * ones > shingles[:, None]).astype(np.uint8)
+        out[:, k] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
+    return out, shingles
+
+
+def fingerprints(docs: DataFrame, words: int, width: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, fp, wide, shingles`` of every row: 64 bits as a signed number, all bits as bytes. A text
+    without words (or null) has fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, offsets, data in pieces(batch.column(1)):
-                got = _fingerprints(Texts(offsets, data, lower=True), words)
-                ids = batch.column(0).slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(signed(got))], ["doc_id", "fp"])
+                got, shingles = _fingerprints(Texts(offsets, data, lower=True), words, width)
+                bits = pa.array([row.tobytes() for row in got], pa.binary())
+                columns = [batch.column(0).slice(first, end - first), pa.array(signed(got[:, 0])), bits, pa.array(shingles)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "wide", "shingles"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"doc_id {kind}, fp long, wide binary, shingles long")
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What links two texts: shingles of ``words`` words whose fingerprints differ in at most ``radius``
+    of 64 bits, found through ``blocks`` trees. With a ``similarity`` (Jaccard, of shingles), the numbers of shingles
+    must allow it, and the share of differing bits among all ``64 * width`` must be what it gives on average,
+    plus ``slack`` standard deviations."""
+
+    words: int = 5
+    radius: int = 4
+    blocks: int = 3
+    width: int = 1
+    similarity: float | None = None
+    slack: float = 1.0
+
+    @property
+    def wide_radius(self) -> float:
+        share = math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
+        return 64 * self.width * share + self.slack * math.sqrt(64 * self.width * share * (1 - share))
 
 
 # --- trees ---------------------------------------------------------------------------------------
@@ -154,30 +180,25 @@ def route(nodes: list[tuple], values: np.ndarray, mask: int, radius: int) -> Ite
         stack.append((far, rows[to_far], home[to_far] & ~inside[to_far]))
 
 
-def _leaf_pairs(held: np.ndarray, asking: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    step = max(1, (BLOCK_ROWS * 4096) // max(len(asking), 1))
-    for at in range(0, len(held), step):
-        part = held[at : at + step]
-        i, j = np.nonzero(np.bitwise_count(part[:, None] ^ asking[None, :]) <= radius)
-        keep = part[i] < asking[j]
-        if keep.any():
-            yield part[i[keep]], asking[j[keep]]
-
-
-def shard_links(values: np.ndarray, home: np.ndarray, mask: int, inner: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links between the fingerprints of a shard, reduced to a spanning forest."""
+def shard_links(bits: np.ndarray, shingles: np.ndarray, home: np.ndarray, mask: int, rule: Rule) -> np.ndarray:
+    """For every row of a shard the first row it is linked to, directly or through others."""
+    values, inner = bits[:, 0], rule.radius // rule.blocks
     nodes = build_tree(np.unique(values), mask, inner, LEAF_ROWS)
-    known = np.unique(values)
-    root = np.arange(len(known))
-    for _, rows, at_home in route(nodes, values, mask, inner):
-        held = values[rows[home[rows] & at_home]]
-        for a, b in _leaf_pairs(held, values[rows], radius) if len(held) else ():
-            _join(root, np.searchsorted(known, a), np.searchsorted(known, b))
-        # the other order of the pair: the smaller value searches, the larger is held
-        for a, b in _leaf_pairs(values[rows[~at_home | ~home[rows]]], held, radius) if len(held) else ():
-            _join(root, np.searchsorted(known, a), np.searchsorted(known, b))
-    moved = np.flatnonzero(root != np.arange(len(known)))
-    return known[moved], known[root[moved]]
+    root = np.arange(len(values))
+    for _, asking, at_home in route(nodes, values, mask, inner):
+        held = asking[home[asking] & at_home]
+        step = max(1, PAIRS_AT_ONCE // max(len(asking), 1))
+        for at in range(0, len(held), step):
+            part = held[at : at + step]
+            i, j = np.nonzero(np.bitwise_count(values[part, None] ^ values[None, asking]) <= rule.radius)
+            i, j = part[i], asking[j]
+            keep = i != j
+            if rule.similarity is not None:
+                keep &= np.minimum(shingles[i], shingles[j]) >= rule.similarity * np.maximum(shingles[i], shingles[j])
+                i, j = i[keep], j[keep]
+                keep = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= rule.wide_radius
+            _join(root, i[keep], j[keep])
+    return root
 
 
 def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -196,57 +217,80 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = up
 
 
-def fingerprint_links(distinct: DataFrame, radius: int, blocks: int = 3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``a, b``: links that connect all fingerprints within ``radius`` of each other (a spanning set of them).
+def fingerprint_links(distinct: DataFrame, rule: Rule, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``a, b``: links between first documents that connect all fingerprints the rule links (a spanning set of them).
 
-    ``distinct`` has one row per fingerprint in ``fp`` and should be stored: it is read twice. The upper
-    trees come from at most ``sample_rows`` of them, whatever the size of the table.
+    ``distinct`` has one row per fingerprint (``first_doc, fp, wide, shingles``) and should be stored: it is
+    read twice. The upper trees come from at most ``sample_rows`` of them, whatever the size of the table.
+    With a similarity, fingerprints are also dealt by their number of shingles: similar texts lie in the
+    same size class or in neighbours, and the smaller searches the class above.
     """
     total = distinct.count()
     share = min(1.0, sample_rows / max(total, 1))
     picked = distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = np.array([r.fp for r in picked.limit(2 * sample_rows).collect()], dtype=np.int64).view(np.uint64)
-    inner, masks = radius // blocks, masks_of(blocks)
+    sample = np.array([r.fp for r in picked.select("fp").limit(2 * sample_rows).collect()], dtype=np.int64).view(np.uint64)
+    inner, masks = rule.radius // rule.blocks, masks_of(rule.blocks)
     leaf = max(64, int(SHARD_ROWS * len(sample) / max(total, 1)))
     trees = [build_tree(sample, mask, inner, leaf) for mask in masks]
+    kind = distinct.schema["first_doc"].dataType.simpleString()
+    names = ["size", "block", "shard", "home", "doc", "wide", "shingles"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "shard", "fp", "home"]
         for batch in batches:
-            values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            ids, wide = batch.column(0), batch.column(2)
+            values = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            shingles = batch.column(3).to_numpy(zero_copy_only=False)
+            size = np.zeros(len(values), dtype=np.int64)
+            if rule.similarity is not None:
+                size = np.floor(np.log(np.maximum(shingles, 1)) / -np.log(rule.similarity)).astype(np.int64)
             for block, (nodes, mask) in enumerate(zip(trees, masks)):
                 for shard, rows, home in route(nodes, values, mask, inner):
-                    n = len(rows)
-                    arrays = [np.full(n, block, np.int32), np.full(n, shard, np.int32), signed(values[rows]), home]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names)
+                    for up in (0, 1) if rule.similarity is not None else (0,):
+                        n, at = len(rows), pa.array(rows)
+                        own = [size[rows] + up, np.full(n, block, np.int32), np.full(n, shard, np.int32), home & (up == 0)]
+                        columns = [*map(pa.array, own), ids.take(at), wide.take(at), pa.array(shingles[rows])]
+                        yield pa.RecordBatch.from_arrays(columns, names)
 
     def link(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        values = part["fp"].to_numpy(np.int64).view(np.uint64)
-        a, b = shard_links(values, part["home"].to_numpy(bool), masks[key[0]], inner, radius)
-        return pd.DataFrame({"a": signed(a), "b": signed(b)})
+        part = part.sort_values("doc", kind="stable")
+        bits = np.frombuffer(b"".join(part["wide"]), dtype=np.uint64).reshape(len(part), -1)
+        ids = part["doc"].to_numpy()
+        root = shard_links(bits, part["shingles"].to_numpy(np.int64), part["home"].to_numpy(bool), masks[key[1]], rule)
+        moved = np.flatnonzero(ids[root] != ids)
+        return pd.DataFrame({"a": ids[moved], "b": ids[root[moved]]})
 
-    dealt = distinct.select("fp").mapInArrow(deal, "block int, shard int, fp long, home boolean")
-    return dealt.groupBy("block", "shard").applyInPandas(link, "a long, b long")
+    dealt = distinct.select("first_doc", "fp", "wide", "shingles").mapInArrow(
+        deal, f"size long, block int, shard int, home boolean, doc {kind}, wide binary, shingles long"
+    )
+    return dealt.groupBy("size", "block", "shard").applyInPandas(link, f"a {kind}, b {kind}")
 
 
-def near_copies(
-    docs: DataFrame, words: int = 5, radius: int = 4, doc_id: str = "doc_id", text: str = "text", blocks: int = 3
-) -> DataFrame:
+def near_copies(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id``: every document, its fingerprint and the smallest document it is linked to.
 
     Equal fingerprints meet in one row before anything is compared, so copies cost nothing. Texts that
     are null or without words have fingerprint zero and link like any other; rows without a document id
-    take no part. Columns of other names are not read.
+    take no part; rows that repeat one are linked as their texts are. Columns of other names are not read.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    of_doc = fingerprints(docs.filter(F.col(doc_id).isNotNull()), words, doc_id, text).checkpoint()
-    distinct = of_doc.groupBy("fp").agg(F.min("doc_id").alias("first_doc")).checkpoint()
-    linked = components(fingerprint_links(distinct, radius, blocks))
-    with_root = distinct.join(linked.select(F.col("node").alias("fp"), "root"), "fp", "left")
-    with_root = with_root.withColumn("root", F.coalesce("root", "fp"))
-    least = with_root.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    classes = with_root.join(least, "root").select("fp", "component_id")
-    return of_doc.join(classes, "fp").select("doc_id", "fp", "component_id")
+    known = docs.filter(F.col(doc_id).isNotNull())
+    of_doc = fingerprints(known, rule.words, rule.width, doc_id, text).checkpoint()
+    same = ["fp", "wide"] if rule.similarity is None else ["fp", "wide", "shingles"]
+    distinct = of_doc.groupBy(*same).agg(F.min("doc_id").alias("first_doc"), *([F.max("shingles").alias("shingles")] if len(same) == 2 else []))
+    distinct = distinct.checkpoint()
+    linked = components(fingerprint_links(distinct, rule)).select(F.col("node").alias("first_doc"), "root")
+    classes = distinct.join(linked, "first_doc", "left").select(*same, F.coalesce("root", "first_doc").alias("component_id"))
+    return of_doc.join(classes, same).select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` less all but the smallest document of each component.
+
+    Rows without a document id stay. Of rows that repeat the id and all other columns one stays.
+    """
+    found = near_copies(docs, rule, doc_id, text).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
+    kept = docs.join(found, docs[doc_id] == F.col("_copy"), "left_anti")
+    return kept.filter(F.col(doc_id).isNotNull()).distinct().unionByName(kept.filter(F.col(doc_id).isNull()))
 
 
 def hex_digits(fp: Column) -> Column:
