@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import lines, packing, simhash, substrings
+from tallyframe.llm import lines, packing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,9 @@ def op8_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the runs of two or more lines that also start earlier."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return lines.drop_repeated_lines(docs, MIN_LINES).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op7_weak_toxicity")
+def op7_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents, learned from the rows that are not held out."""
+    return toxicity.score_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
