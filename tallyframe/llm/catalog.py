@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import lines, packing, simhash, substrings, toxicity
+from tallyframe.llm import leaks, lines, packing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,9 @@ def op8_line_winnowing(spark: SparkSession, folder: str) -> DataFrame:
 def op7_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity scores of all documents, learned from the rows that are not held out."""
     return toxicity.score_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op1_qgram_decontamination")
+def op1_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every place of a document that holds a benchmark item within a tenth of edits."""
+    return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
