@@ -17,9 +17,10 @@ KIND = ["h", "left", "span", "context"]
 
 def _hash_arrays(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc, sig, lines, places, hs``: all lines, and place and hash of those that are not blank."""
-    own = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("sig"), F.split(text, "\n", -1).alias("lines"))
+    own = docs.filter(F.col(text).isNotNull())
+    own = own.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("sig"), F.split(text, "\n", -1).alias("lines"))
     places = F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.trim(F.get("lines", i)) != "")
-    own = own.filter("lines is not null").withColumn("places", places)
+    own = own.withColumn("places", places)
     return own.withColumn("hs", F.transform("places", lambda i: F.xxhash64(F.get("lines", i))))
 
 
@@ -27,8 +28,9 @@ def fingerprints(docs: DataFrame, min_lines: int, doc_id: str = "doc_id", text:
     """One row per selected fingerprint: its hash, the stretch it stands for, and hashes of the
     whole stretch (``context``) and of each window in it (``windows``)."""
     w = min_lines
-    own = _hash_arrays(docs, doc_id, text).select("doc", "sig", "hs").filter(F.size("hs") >= w)
-    starts = F.sequence(F.lit(0), F.size("hs") - w)
+    # no filter on the size of hs: it would be pushed down and repeat all that hs is made of
+    own = _hash_arrays(docs, doc_id, text).select("doc", "sig", "hs")
+    starts = F.when(F.size("hs") >= w, F.sequence(F.lit(0), F.size("hs") - w)).otherwise(F.array().cast("array<int>"))
 
     def least(i):
         window = F.slice("hs", i + 1, w)
