@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import leaks, lines, packing, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, packing, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +101,9 @@ def op7_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op1_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every place of a document that holds a benchmark item within a tenth of edits."""
     return leaks.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_viterbi_counts")
+def op3_viterbi_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Number of unigram pieces of every document."""
+    return counts.token_counts(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
