@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, packing, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, packing, pages, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,10 @@ def op1_qgram_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op3_viterbi_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Number of unigram pieces of every document."""
     return counts.token_counts(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op5_template_extraction")
+def op5_template_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = pages.extract_pages(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
