@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, packing, pages, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,10 @@ def op5_template_extraction(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     found = pages.extract_pages(table(spark, folder, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op2_adaptive_scan")
+def op2_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors found for every fiftieth one."""
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
