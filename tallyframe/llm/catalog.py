@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,9 @@ def op2_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors found for every fiftieth one."""
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@query("op10_gated_recurrent")
+def op10_gated_recurrent(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document under word frequencies and under the network."""
+    return recurrent.score_documents(table(spark, folder, "documents"))
