@@ -215,8 +215,8 @@ def _with_template(own: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def slot_rows(joined: DataFrame) -> DataFrame:
-    """Per host and slot (the template tag before it): characters of text, in links, and inside the article's
-    element; and per class the pages it is on and those on which it is out of order."""
+    """Per host and slot (the template tag before it): text in thousandths of a page, in links, and inside the
+    article's element; and per class the pages it is on and those on which it is out of order."""
     names = ["host", "slot", "kind", "chars", "linked", "inside", "pages", "wrong"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +227,7 @@ def slot_rows(joined: DataFrame) -> DataFrame:
                 order = {t: (k, c) for k, (t, c) in enumerate(zip(template or (), kinds or ()))}
                 static, slot, last = set(texts or ()), 0, {}
                 wrong: dict[int, bool] = {}
+                own: dict[int, np.ndarray] = {}
                 for event in events(html or "", tags):
                     token = _signed(event.token)
                     if event.tag:
@@ -236,8 +237,11 @@ def slot_rows(joined: DataFrame) -> DataFrame:
                             last[kind], slot = place, token
                     elif event.token and not event.beside and (event.content or token not in static):
                         n = len(event.text)
-                        row = total.setdefault((host, slot, -1), np.zeros(5, np.int64))
-                        row += (n, n * event.link, n * event.content, 0, 0)
+                        own[slot] = own.get(slot, 0) + np.array((n, n * event.link, n * event.content, 0, 0))
+                whole = max(sum(int(v[0]) for v in own.values()), 1)
+                for slot, parts in own.items():  # in thousandths, so that no long page outweighs the others
+                    row = total.setdefault((host, slot, -1), np.zeros(5, np.int64))
+                    row += -(-1000 * parts // whole)
                 for kind, bad in wrong.items():
                     row = total.setdefault((host, 0, kind), np.zeros(5, np.int64))
                     row += (0, 0, 0, 1, bad)
@@ -256,30 +260,25 @@ def _signed(token: int) -> int:
 
 
 def main_slots(found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Templates of the classes that keep their order, with the slots of the article and whether the
-    article has an element of its own."""
+    """Templates of the classes that keep their order, with the slots of the article: those with text inside the
+    article's own element, and those with a share of the text that is not mostly links."""
 
     def choose(key: tuple, slots: pd.DataFrame) -> pd.DataFrame:
         kinds = slots[slots.kind >= 0]
         bad = set(kinds[kinds.wrong > DISORDER * kinds.pages].kind)
         text = slots[slots.kind < 0]
-        element = bool(text.inside.sum() >= 0.3 * max(text.chars.sum(), 1))
-        if element:
-            main = text[text.inside > 0]
-        else:
-            main = text[(text.chars >= 0.05 * text.chars.sum()) & (text.linked < 0.5 * text.chars)]
-        return pd.DataFrame({"host": [key[0]], "bad": [sorted(bad)], "main": [main.slot.tolist()], "element": [element]})
+        main = text[(text.inside > 0) | (text.chars >= 0.02 * text.chars.sum()) & (text.linked < 0.5 * text.chars)]
+        return pd.DataFrame({"host": [key[0]], "bad": [sorted(bad)], "main": [main.slot.tolist()]})
 
-    chosen = rows.groupBy("host").applyInPandas(choose, "host string, bad array<int>, main array<long>, element boolean")
-    return found.join(chosen, "host").select("host", "tags", "kinds", "texts", "bad", "main", "element")
+    chosen = rows.groupBy("host").applyInPandas(choose, "host string, bad array<int>, main array<long>")
+    return found.join(chosen, "host").select("host", "tags", "kinds", "texts", "bad", "main")
 
 
-def _text_of(html: str, tags: Tags, slots: dict[int, bool], main: set[int] | None, element: bool | None, static: set[int]) -> str:
+def _text_of(html: str, tags: Tags, slots: dict[int, bool], main: set[int] | None, static: set[int]) -> str:
     blocks: list[str] = []
     parts: list[str] = []
     seen = events(html, tags)
-    if element is None:
-        element = any(e.content and e.token and not e.tag and not e.beside for e in seen)
+    element = any(e.content and e.token and not e.tag and not e.beside for e in seen)
     slot = 0
 
     def end_block() -> None:
@@ -324,14 +323,14 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part, out = batch.slice(at, 500), []
-                for page, template, kinds, texts, bad, main, element in zip(*(c.to_pylist() for c in part.columns[2:])):
+                for page, template, kinds, texts, bad, main in zip(*(c.to_pylist() for c in part.columns[2:])):
                     if main is None:
-                        out.append(_text_of(page or "", tags, {}, None, None, set()))
+                        out.append(_text_of(page or "", tags, {}, None, set()))
                         continue
                     slots = {t: True for t, k in zip(template, kinds) if k not in bad}
-                    out.append(_text_of(page or "", tags, slots, set(main), element, set(texts)))
+                    out.append(_text_of(page or "", tags, slots, set(main), set(texts)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     kind = own.schema["page_id"].dataType.simpleString()
-    columns = ["page_id", "url", "html", "tags", "kinds", "texts", "bad", "main", "element"]
+    columns = ["page_id", "url", "html", "tags", "kinds", "texts", "bad", "main"]
     return joined.select(*columns).mapInArrow(run, f"page_id {kind}, url string, text string")
