@@ -13,13 +13,17 @@ def error_class(status: Column | str) -> Column:
 
 
 def parse_payload(text: Column | str, schema: T.StructType | str) -> Column:
-    """JSON text to a struct; broken or missing text gives a struct of NULLs."""
+    """JSON text to a struct; broken or missing text gives a struct of NULLs, and NaN is NULL."""
     text = F.col(text) if isinstance(text, str) else text
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
     nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-    return F.coalesce(parsed, nothing)
+    whole = F.coalesce(parsed, nothing)
+    floats = [f.name for f in schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    for name in floats:
+        whole = whole.withField(f"`{name}`", F.when(~F.isnan(whole[name]), whole[name]))
+    return whole
 
 
 def payload_field(text: Column | str, field: str) -> Column:

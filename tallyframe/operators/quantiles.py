@@ -23,6 +23,8 @@ ACCURACY = 5_000
 # Columns bracketed at a time: each has several counters per quantile, and an aggregate with
 # too many of them leaves code generation. Every column is still read the same number of times.
 COLUMNS_AT_ONCE = 4
+# A round leaves a small share of an interval; more rounds than this mean that the table changes.
+MOST_ROUNDS = 60
 
 
 @dataclass
@@ -30,7 +32,7 @@ class _Rank:
     """Two neighbouring order statistics and the open value interval they are known to lie in."""
 
     column: str
-    first: int  # zero-based rank among the non-null values; the second is the same or the next
+    first: int  # zero-based rank among the finite values; the second is the same or the next
     second: int
     low: float
     high: float
@@ -55,45 +57,67 @@ def exact_quantiles(
     bracket_rows: int = BRACKET_ROWS,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column, ``None`` for a column without values."""
+    """Linearly interpolated quantiles per column, ``None`` for a column without values.
+
+    NaN is missing, like NULL. Infinities are values: a quantile whose lower neighbour is minus
+    infinity, or whose upper neighbour is plus infinity, is that infinity. They are counted first, and only
+    finite values are bracketed, so both ways of reading them give equal answers.
+    """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
-    sizes = values.agg(F.count(F.lit(1)), *[F.count(v) for v in values.columns]).first()
-    if sizes[0] <= direct_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = values.agg(*[F.percentile(v, wanted) for v in values.columns]).first()
-        return {c: list(row[i]) if row[i] is not None else [None] * len(probabilities) for i, c in enumerate(columns)}
+    numbers = [F.col(c).cast("double") for c in columns]
+    finite = df.select(*[F.when(F.abs(x) < F.lit(math.inf), x).alias(f"v{i}") for i, x in enumerate(numbers)])
+    counts = [
+        F.struct(F.count_if(F.abs(x) < F.lit(math.inf)), F.count_if(x == F.lit(-math.inf)), F.count_if(x == F.lit(math.inf)))
+        for x in numbers
+    ]
+    rows, *sizes = df.agg(F.count(F.lit(1)), *counts).first()
     out: dict[str, list[float | None]] = {}
-    for start in range(0, len(columns), COLUMNS_AT_ONCE):
-        part = list(enumerate(columns))[start : start + COLUMNS_AT_ONCE]
-        out.update(_narrowed(values, part, [sizes[i + 1] for i, _ in part], probabilities, bracket_rows, accuracy))
+    wanted: dict[str, dict[int, float]] = {}  # column -> place among the probabilities -> position among finite values
+    for c, (inner, least, most) in zip(columns, sizes):
+        n, out[c] = inner + least + most, [None] * len(probabilities)
+        for j, p in enumerate(probabilities if n else ()):
+            pos = p * (n - 1)
+            if math.floor(pos) < least:
+                out[c][j] = -math.inf
+            elif math.ceil(pos) >= least + inner:
+                out[c][j] = math.inf
+            else:
+                wanted.setdefault(c, {})[j] = pos - least
+    asked = [(i, c, sizes[i][0]) for i, c in enumerate(columns) if c in wanted]
+    if rows <= direct_rows:
+        shares = [F.array(*[F.lit(pos / max(n - 1, 1)) for pos in wanted[c].values()]) for _, c, n in asked]
+        read = finite.agg(*[F.percentile(f"v{i}", share) for (i, _, _), share in zip(asked, shares)]).first() if asked else ()
+        for (_, c, _), values in zip(asked, read):
+            for j, v in zip(wanted[c], values):
+                out[c][j] = v
+        return out
+    for start in range(0, len(asked), COLUMNS_AT_ONCE):
+        for (c, j), v in _narrowed(finite, asked[start : start + COLUMNS_AT_ONCE], wanted, bracket_rows, accuracy).items():
+            out[c][j] = v
     return out
 
 
-def _narrowed(values, columns, sizes, probabilities, bracket_rows, accuracy):
-    active = {}
-    for (i, c), n in zip(columns, sizes):
-        for p in probabilities:
-            pos = p * (n - 1)
-            if n:
-                ends = math.floor(pos), math.ceil(pos)
-                active[(c, p)] = _Rank(f"v{i}", *ends, -math.inf, math.inf, 0, n, 3.0 / accuracy)
-    found: dict[tuple[str, float], tuple[float, float]] = {}
-    while active:
+def _narrowed(values, columns, wanted, bracket_rows, accuracy):
+    active = {
+        (c, j): _Rank(f"v{i}", math.floor(pos), math.ceil(pos), -math.inf, math.inf, 0, n, 3.0 / accuracy)
+        for i, c, n in columns
+        for j, pos in wanted[c].items()
+    }
+    found: dict[tuple[str, int], tuple[float, float]] = {}
+    for _ in range(MOST_ROUNDS):
         wide = {k: r for k, r in active.items() if r.inside > bracket_rows}
         found.update(_tighten(values, wide, accuracy) if wide else {})
         ready = {k: r for k, r in active.items() if k not in found and r.inside <= bracket_rows}
         found.update(_pick(values, ready) if ready else {})
         active = {k: r for k, r in active.items() if k not in found}
-    return {c: [_between(found.get((c, p)), p, n) for p in probabilities] for (_, c), n in zip(columns, sizes)}
+        if not active:
+            return {(c, j): _between(pair, wanted[c][j]) for (c, j), pair in found.items()}
+    raise RuntimeError(f"no quantile found for {sorted(active)} in {MOST_ROUNDS} rounds")
 
 
-def _between(pair, p, size):
-    if pair is None:
-        return None
-    pos = p * (size - 1)
+def _between(pair, pos):
     return pair[0] + (pair[1] - pair[0]) * (pos - math.floor(pos))
 
 

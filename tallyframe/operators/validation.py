@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ERROR_TYPE = "array<struct<field:string,message:string,type:string>>"
@@ -68,15 +68,15 @@ def _num(v: float) -> str:
 
 
 def at_least(v: float) -> Check:
-    return Check(lambda c: c >= F.lit(float(v)), f"Input should be greater than or equal to {_num(v)}", "greater_than_equal")
+    return Check(lambda c: (c >= F.lit(float(v))) & ~F.isnan(c), f"Input should be greater than or equal to {_num(v)}", "greater_than_equal")
 
 
 def at_most(v: float) -> Check:
-    return Check(lambda c: c <= F.lit(float(v)), f"Input should be less than or equal to {_num(v)}", "less_than_equal")
+    return Check(lambda c: (c <= F.lit(float(v))) & ~F.isnan(c), f"Input should be less than or equal to {_num(v)}", "less_than_equal")
 
 
 def above(v: float) -> Check:
-    return Check(lambda c: c > F.lit(float(v)), f"Input should be greater than {_num(v)}", "greater_than")
+    return Check(lambda c: (c > F.lit(float(v))) & ~F.isnan(c), f"Input should be greater than {_num(v)}", "greater_than")
 
 
 def custom(holds: Callable[[Column], Column], message: str) -> Check:
@@ -269,19 +269,20 @@ def validate_batches(
 ) -> DataFrame:
     """One row per batch: size, validity, failed items, item-numbered warnings.
 
-    ``position`` is 1-based. A batch is invalid if it holds a bad item or more than
-    ``max_size`` items; such a batch has no warnings, so only warnings at positions up to
-    ``max_size`` can ever be reported and the collected list is bounded by that.
+    Items are numbered 1, 2, ... in the order of ``position``, whatever its values; equal positions
+    in no set order. A batch is invalid if it holds a bad item or more than ``max_size`` items; such a batch
+    has no warnings. Batches that are too large are told by a first count, so no list of theirs is collected.
     """
     checked = validate(df, rules)
-    item = F.concat(F.lit("Prediction "), F.col(position).cast("string"), F.lit(": "))
+    sizes = df.groupBy(batch).agg(F.count(F.lit(1)).alias("batch_size"))
+    counted = checked.groupBy(batch).agg(F.count_if(~F.col("is_valid")).alias("invalid_items"))
+    good = sizes.join(counted, batch).where((F.col("batch_size") <= max_size) & (F.col("invalid_items") == 0)).select(batch)
+    number = F.row_number().over(Window.partitionBy(batch).orderBy(position))
+    item = F.concat(F.lit("Prediction "), F.col("_number").cast("string"), F.lit(": "))
     texts = F.transform(F.col("warnings"), lambda w: F.concat(item, w))
-    listed = F.when((F.col(position) <= max_size) & (F.size("warnings") > 0), F.struct(F.col(position), texts.alias("w")))
-    grouped = checked.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("batch_size"),
-        F.count_if(~F.col("is_valid")).alias("invalid_items"),
-        F.collect_list(listed).alias("_listed"),
-    )
+    listed = checked.join(good, batch, "left_semi").withColumn("_number", number).where(F.size("warnings") > 0)
+    listed = listed.groupBy(batch).agg(F.collect_list(F.struct("_number", texts.alias("w"))).alias("_listed"))
+    grouped = sizes.join(counted, batch).join(listed, batch, "left")
     fits = F.col("batch_size").between(1, max_size)
     is_valid = fits & (F.col("invalid_items") == 0)
     ordered = F.flatten(F.transform(F.array_sort("_listed"), lambda s: s["w"]))
@@ -291,7 +292,7 @@ def validate_batches(
         "invalid_items",
         is_valid.alias("is_valid"),
         F.when(~fits, F.lit(f"List should have between 1 and {max_size} items")).alias("size_error"),
-        F.when(is_valid, ordered).otherwise(F.array().cast("array<string>")).alias("warnings"),
+        F.when(is_valid & F.col("_listed").isNotNull(), ordered).otherwise(F.array().cast("array<string>")).alias("warnings"),
     )
 
 

@@ -29,6 +29,7 @@ HOUSING_SCHEMA = T.StructType(
     + [T.StructField("ocean_proximity", T.StringType())]
 )
 
+# Columns of the logs.
 REQUEST_SCHEMA = (
     "id long, ts timestamp_ntz, endpoint string, method string, input_data string, prediction double, "
     "processing_time_ms double, status_code int, error_message string, user_agent string, ip_address string"
@@ -60,7 +61,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return nan_as_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def save_split(df: DataFrame, path: str, split: str = "split") -> str:
@@ -71,7 +72,7 @@ def save_split(df: DataFrame, path: str, split: str = "split") -> str:
 
 
 def load_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    stored = spark.read.parquet(path)
+    stored = nan_as_null(spark.read.parquet(path))
     return stored if split is None else stored.where(F.col("split") == split)
 
 
@@ -110,10 +111,14 @@ def _conform(rows: DataFrame, schema: str, defaults: dict[str, Column] | None =
 
 
 def append_requests(rows: DataFrame, path: str) -> str:
-    """Request rows; a missing status is 200, a struct payload becomes JSON text."""
+    """Request rows; a missing status is 200, a struct payload becomes JSON text. A row without a time is
+    stamped with the time of the write, and one without an id gets a hash of the row that is the same
+    whenever the row is written again, so look-backs and de-duplication see it."""
     if "input_data" in rows.columns and not isinstance(rows.schema["input_data"].dataType, T.StringType):
         rows = rows.withColumn("input_data", F.to_json("input_data"))
     defaults = {"status_code": F.lit(200), "method": F.lit("POST"), "input_data": F.lit("{}")}
+    own = [f"`{c}`" for c in rows.columns if not isinstance(rows.schema[c].dataType, T.MapType)]
+    defaults |= {"ts": F.localtimestamp(), "id": F.shiftright(F.xxhash64(*own), 1).bitwiseAND(F.lit((1 << 62) - 1))}
     return _append(_conform(rows, REQUEST_SCHEMA, defaults), path)
 
 
@@ -141,7 +146,7 @@ def scan_log(
     """Log rows, pruned to the days the window touches."""
     from tallyframe.functions.timing import since
 
-    stored = spark.read.parquet(path)
+    stored = nan_as_null(spark.read.parquet(path))
     return stored if hours is None else since(stored, hours, as_of, day="dt")
 
 
