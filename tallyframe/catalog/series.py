@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tallyframe.catalog.log import DAY
@@ -204,23 +206,36 @@ def _(spark, folder):
 # --- alerts -----------------------------------------------------------------------------------
 
 W, STEP, HOLD = 3600, 300, 900
+# Rules are judged this long after the last row, when the log has fallen silent.
+SILENT = dt.timedelta(hours=2)
+
+
+def _late(rows: DataFrame) -> dt.datetime:
+    return rows.agg(F.max("ts")).first()[0] + SILENT
+
+
+def _last(view: str, step: int) -> str:
+    """The last tick up to that time."""
+    shift = int(SILENT.total_seconds()) * 1_000_000
+    return f"(SELECT (epoch_us(max(ts)) + {shift}) // {step * 1_000_000} * {step} FROM {view})"
 
 
 def _alert_sql(rule: str, severity: str, value: str, active: str, hold: int = HOLD, window: int = W, step: int = STEP,
                where: str = "true", view: str = "requests", views_: str = "requests", digits: int = 6, extra: str = "") -> str:
     s, k = step * 1_000_000, hold // step
     return over(views_, f"""+ {_ticks(window, step, where, view)},
-  spine AS (SELECT unnest(range(min(first_tick), max(first_tick) + 1, {step})) AS tick FROM ticked){extra},
+  spine AS (SELECT unnest(range(min(first_tick), {_last(view, step)} + 1, {step})) AS tick FROM ticked){extra},
   vals AS (SELECT spine.tick AS tick, {value} AS v FROM spine LEFT JOIN spread ON spread.tick = spine.tick GROUP BY spine.tick),
   act AS (SELECT *, coalesce({active}, false) AS active FROM vals)
 SELECT '{rule}' AS rule, '{severity}' AS severity, {AT} AS tick_ts, {r('v', digits)} AS value, active,
   min(CAST(active AS INTEGER)) OVER h = 1 AND count(*) OVER h = {k + 1} AS firing FROM act WINDOW h AS (ORDER BY tick ROWS BETWEEN {k} PRECEDING AND CURRENT ROW)""")
 
 
-@query("join_eval_spine", over("requests", f"""+ {_ticks(W, STEP)}, spine AS (SELECT unnest(range(min(first_tick), max(first_tick) + 1, {STEP})) AS tick FROM ticked)
+@query("join_eval_spine", over("requests", f"""+ {_ticks(W, STEP)}, spine AS (SELECT unnest(range(min(first_tick), {_last("requests", STEP)} + 1, {STEP})) AS tick FROM ticked)
 SELECT spine.tick AS tick, count(spread.tick) AS requests FROM spine LEFT JOIN spread ON spread.tick = spine.tick GROUP BY 1"""))
 def _(spark, folder):
-    return alerts.windowed_counts(_log(spark, folder), W, STEP, {"requests": F.lit(1)})
+    log = _log(spark, folder)
+    return alerts.windowed_counts(log, W, STEP, {"requests": F.lit(1)}, _late(log))
 
 
 ERRORS = "count(*) FILTER (WHERE status_code >= 400) * 100e0 / nullif(count(spread.tick), 0)"
@@ -228,12 +243,14 @@ ERRORS = "count(*) FILTER (WHERE status_code >= 400) * 100e0 / nullif(count(spre
 
 @query("alert_high_error_rate", _alert_sql("high_error_rate", "warning", ERRORS, "v > 25"))
 def _(spark, folder):
-    return tidy(alerts.high_error_rate(_log(spark, folder), 25.0, W, HOLD, STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.high_error_rate(log, 25.0, W, HOLD, STEP, as_of=_late(log)))
 
 
 @query("alert_high_error_rate_critical", _alert_sql("high_error_rate", "critical", ERRORS, "v > 5", hold=600))
 def _(spark, folder):
-    return tidy(alerts.high_error_rate(_log(spark, folder), 5.0, W, 600, STEP, "critical"))
+    log = _log(spark, folder)
+    return tidy(alerts.high_error_rate(log, 5.0, W, 600, STEP, "critical", as_of=_late(log)))
 
 
 def _p95() -> str:
@@ -250,12 +267,14 @@ def _slow_sql(rule: str, limit: float, hold: int) -> str:
 
 @query("alert_slow_processing", _slow_sql("slow_processing", 0.0975, HOLD))
 def _(spark, folder):
-    return tidy(alerts.slow_requests(_log(spark, folder), 0.0975, window=W, hold_for=HOLD, step=STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.slow_requests(log, 0.0975, window=W, hold_for=HOLD, step=STEP, as_of=_late(log)))
 
 
 @query("alert_slow_prediction", _slow_sql("slow_prediction", 0.095, 600))
 def _(spark, folder):
-    return tidy(alerts.slow_prediction(_log(spark, folder), 0.095, hold_for=600, window=W, step=STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.slow_prediction(log, 0.095, hold_for=600, window=W, step=STEP, as_of=_late(log)))
 
 
 PER_MINUTE = "count(spread.tick) / 3600e0 * 60"
@@ -263,32 +282,38 @@ PER_MINUTE = "count(spread.tick) / 3600e0 * 60"
 
 @query("alert_low_volume", _alert_sql("low_volume", "info", PER_MINUTE, "v < 0.2"))
 def _(spark, folder):
-    return tidy(alerts.low_volume(_log(spark, folder), 0.2, W, HOLD, STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.low_volume(log, 0.2, W, HOLD, STEP, as_of=_late(log)))
 
 
 @query("alert_high_volume", _alert_sql("high_volume", "warning", PER_MINUTE, "v > 0.25", hold=300))
 def _(spark, folder):
-    return tidy(alerts.high_volume(_log(spark, folder), 0.25, W, 300, STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.high_volume(log, 0.25, W, 300, STEP, as_of=_late(log)))
 
 
 @query("alert_no_predictions", _alert_sql("no_predictions", "info", "CAST(count(spread.prediction) AS DOUBLE)", "v = 0", hold=600, window=600))
 def _(spark, folder):
-    return tidy(alerts.no_predictions(_log(spark, folder), 600, 600, STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.no_predictions(log, 600, 600, STEP, as_of=_late(log)))
 
 
 @query("alert_log_growth", _alert_sql("log_growth", "info", "CAST(coalesce(sum(length(input_data)), 0) AS DOUBLE)", "v > 150", hold=600))
 def _(spark, folder):
-    return tidy(alerts.log_growth(_log(spark, folder), F.length("input_data"), 150.0, W, 600, STEP))
+    log = _log(spark, folder)
+    return tidy(alerts.log_growth(log, F.length("input_data"), 150.0, W, 600, STEP, as_of=_late(log)))
 
 
 @query("alert_no_runs", _alert_sql("no_runs", "warning", "CAST(count(spread.run_id) AS DOUBLE)", "v < 1", hold=60, window=300, step=60,
        view="runs", views_="runs"))
 def _(spark, folder):
     """A run comes every seven minutes: a window of five has gaps."""
-    return tidy(alerts.no_runs(views.runs(spark, folder), 300, 60, 60))
+    runs = views.runs(spark, folder)
+    return tidy(alerts.no_runs(runs, 300, 60, 60, _late(runs)))
 
 
 @query("alert_hold", _alert_sql("half_hour", "info", "CAST(count(spread.tick) AS DOUBLE)", "v > 6", hold=900, window=1800))
 def _(spark, folder):
-    counted = alerts.windowed_counts(_log(spark, folder), 1800, STEP, {"value": F.lit(1)})
+    log = _log(spark, folder)
+    counted = alerts.windowed_counts(log, 1800, STEP, {"value": F.lit(1)}, _late(log))
     return tidy(alerts.judged(counted, "half_hour", "info", F.col("value") > 6, 900, STEP))

@@ -1,22 +1,22 @@
 """Alert rules evaluated on a tick spine.
 
 Every rule yields one row per evaluation tick: ``(rule, severity, tick_ts, value, active,
-firing)``. ``active`` is the condition at the tick, ``firing`` that it held for the whole
+firing)``. Ticks go on to ``as_of``, so a log that has stopped is judged too. ``active`` is the condition at the tick, ``firing`` that it held for the whole
 hold time. Data is reduced to one row per tick first, so windows only see ticks, and only a
 bounded stretch of them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import ms_to_seconds
-from tallyframe.functions.payload import bound_label
 from tallyframe.functions.timing import at_second
-from tallyframe.operators.series import TIME_BOUNDS, cells, histogram_quantile, on_spine, sliding, tick_spine
+from tallyframe.operators.series import TIME_BOUNDS, cells, on_spine, sliding, tick_spine
 
 # Ticks per window partition when the hold time is checked.
 STRETCH = 10_000
@@ -63,23 +63,44 @@ def judged(
     )
 
 
-def windowed_counts(rows: DataFrame, window_seconds: int, step_seconds: int, sums: dict[str, Column]) -> DataFrame:
-    """Sums over the look-back window at every tick, empty ticks included."""
+def windowed_counts(
+    rows: DataFrame, window_seconds: int, step_seconds: int, sums: dict[str, Column], as_of: dt.datetime | None = None
+) -> DataFrame:
+    """Sums over the look-back window at every tick, empty ticks included, up to the last row or ``as_of``."""
     part = cells(rows, step_seconds, sums)
     slid = sliding(part, window_seconds, step_seconds, list(sums))
-    return on_spine(slid, tick_spine(rows, step_seconds), list(sums))
+    return on_spine(slid, tick_spine(rows, step_seconds, as_of=as_of), list(sums))
 
 
 def high_error_rate(
-    log: DataFrame, percent: float = 5.0, window: int = 300, hold_for: int = 120, step: int = 60, severity: str = "warning"
+    log: DataFrame,
+    percent: float = 5.0,
+    window: int = 300,
+    hold_for: int = 120,
+    step: int = 60,
+    severity: str = "warning",
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    counted = windowed_counts(
-        log, window, step, {"requests": F.lit(1), "errors": (F.col("status_code") >= 400).cast("int")}
-    )
+    sums = {"requests": F.lit(1), "errors": (F.col("status_code") >= 400).cast("int")}
+    counted = windowed_counts(log, window, step, sums, as_of)
     values = counted.select("tick", F.try_divide(F.col("errors") * 100.0, F.col("requests")).alias("value"))
     return judged(values, "high_error_rate", severity, F.col("value") > percent, hold_for, step)
 
 
+def bucket_quantile(q: float, bounds: Sequence[float], count: str = "n", bucket: str = "b") -> Column:
+    """Quantile interpolated inside the first bucket that reaches rank ``q * count``, from columns that hold
+    the cumulative counts ``b0, b1, ...``; NULL where nothing was counted."""
+    rank = F.col(count) * F.lit(float(q))
+    out = None
+    for i, high in enumerate(bounds):
+        here, low = F.col(f"{bucket}{i}"), F.lit(float(bounds[i - 1]) if i else 0.0)
+        before = F.col(f"{bucket}{i - 1}") if i else F.lit(0)
+        share = F.coalesce(F.try_divide(rank - before, here - before), F.lit(0.0))
+        reached, value = (here >= rank) & (here > 0), low + (F.lit(float(high)) - low) * share
+        out = F.when(reached, value) if out is None else out.when(reached, value)
+    return out.when(F.col(count) > 0, F.lit(float(bounds[-1])))
+
+
 def slow_requests(
     log: DataFrame,
     seconds: float = 1.0,
@@ -90,21 +111,13 @@ def slow_requests(
     rule: str = "slow_processing",
     severity: str = "warning",
     bounds: Sequence[float] = TIME_BOUNDS,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
-    """Interpolated time quantile above a limit; empty windows have no value and never fire."""
+    """Interpolated time quantile above a limit; windows without times have no value and never fire."""
     x = ms_to_seconds("processing_time_ms")
-    rows = log.where(F.col("processing_time_ms").isNotNull())
-    sums = {f"b{i}": (x <= F.lit(float(b))).cast("int") for i, b in enumerate(bounds)} | {"n": F.lit(1)}
-    counted = windowed_counts(rows, window, step, sums)
-    buckets = [
-        F.struct(F.lit(bound_label(b)).alias("le"), F.lit(float(b)).alias("bound"), F.col(f"b{i}").alias("cum_count"))
-        for i, b in enumerate(bounds)
-    ]
-    buckets.append(
-        F.struct(F.lit("+Inf").alias("le"), F.lit(None).cast("double").alias("bound"), F.col("n").alias("cum_count"))
-    )
-    per_tick = histogram_quantile(counted.select("tick", F.inline(F.array(*buckets))), q, ["tick"], "value")
-    values = counted.select("tick").join(per_tick, "tick", "left")
+    sums = {f"b{i}": (x <= F.lit(float(b))).cast("int") for i, b in enumerate(bounds)}
+    counted = windowed_counts(log, window, step, sums | {"n": x.isNotNull().cast("int")}, as_of)
+    values = counted.select("tick", bucket_quantile(q, bounds).alias("value"))
     return judged(values, rule, severity, F.col("value") > seconds, hold_for, step)
 
 
@@ -112,34 +125,48 @@ def slow_prediction(log: DataFrame, seconds: float = 0.5, hold_for: int = 180, *
     return slow_requests(log, seconds, hold_for=hold_for, rule="slow_prediction", **options)
 
 
-def low_volume(log: DataFrame, per_minute: float = 1.0, window: int = 600, hold_for: int = 300, step: int = 60):
-    return _volume(log, "low_volume", "info", lambda v: v < per_minute, window, hold_for, step)
+def low_volume(
+    log: DataFrame, per_minute: float = 1.0, window: int = 600, hold_for: int = 300, step: int = 60, as_of: dt.datetime | None = None
+) -> DataFrame:
+    return _volume(log, "low_volume", "info", lambda v: v < per_minute, window, hold_for, step, as_of)
 
 
-def high_volume(log: DataFrame, per_minute: float = 100.0, window: int = 300, hold_for: int = 60, step: int = 60):
-    return _volume(log, "high_volume", "warning", lambda v: v > per_minute, window, hold_for, step)
+def high_volume(
+    log: DataFrame, per_minute: float = 100.0, window: int = 300, hold_for: int = 60, step: int = 60, as_of: dt.datetime | None = None
+) -> DataFrame:
+    return _volume(log, "high_volume", "warning", lambda v: v > per_minute, window, hold_for, step, as_of)
 
 
-def _volume(log, rule, severity, condition, window, hold_for, step):
-    counted = windowed_counts(log, window, step, {"requests": F.lit(1)})
+def _volume(log, rule, severity, condition, window, hold_for, step, as_of):
+    counted = windowed_counts(log, window, step, {"requests": F.lit(1)}, as_of)
     values = counted.select("tick", (F.col("requests") / F.lit(float(window)) * 60).alias("value"))
     return judged(values, rule, severity, condition(F.col("value")), hold_for, step)
 
 
-def no_predictions(log: DataFrame, window: int = 600, hold_for: int = 600, step: int = 60) -> DataFrame:
+def no_predictions(
+    log: DataFrame, window: int = 600, hold_for: int = 600, step: int = 60, as_of: dt.datetime | None = None
+) -> DataFrame:
     made = F.col("prediction").isNotNull().cast("int")
-    values = windowed_counts(log, window, step, {"value": made})
+    values = windowed_counts(log, window, step, {"value": made}, as_of)
     return judged(values, "no_predictions", "info", F.col("value") == 0, hold_for, step)
 
 
 def log_growth(
-    log: DataFrame, size: Column, max_bytes: float = 1048576.0, window: int = 3600, hold_for: int = 600, step: int = 60
+    log: DataFrame,
+    size: Column,
+    max_bytes: float = 1048576.0,
+    window: int = 3600,
+    hold_for: int = 600,
+    step: int = 60,
+    as_of: dt.datetime | None = None,
 ) -> DataFrame:
     """Bytes of rows appended in the window above a limit."""
-    values = windowed_counts(log, window, step, {"value": size.cast("long")})
+    values = windowed_counts(log, window, step, {"value": size.cast("long")}, as_of)
     return judged(values, "log_growth", "info", F.col("value") > max_bytes, hold_for, step)
 
 
-def no_runs(runs: DataFrame, window: int = 3600, hold_for: int = 1800, step: int = 60) -> DataFrame:
-    values = windowed_counts(runs, window, step, {"value": F.lit(1)})
+def no_runs(
+    runs: DataFrame, window: int = 3600, hold_for: int = 1800, step: int = 60, as_of: dt.datetime | None = None
+) -> DataFrame:
+    values = windowed_counts(runs, window, step, {"value": F.lit(1)}, as_of)
     return judged(values, "no_runs", "warning", F.col("value") < 1, hold_for, step)

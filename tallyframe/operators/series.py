@@ -6,6 +6,8 @@ cell and label, and only these small partials are spread over the windows they b
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -258,11 +260,17 @@ def sliding(cell_rows: DataFrame, window_seconds: int, step_seconds: int, sums:
     return spread.groupBy("tick", *labels).agg(*[F.sum(s).alias(s) for s in sums])
 
 
-def tick_spine(rows: DataFrame, step_seconds: int, ts: str = "ts", until: Column | None = None) -> DataFrame:
-    """Every evaluation tick between the first and the last row, with or without events."""
-    ends = rows.agg(tick_after(F.min(ts), step_seconds).alias("a"), tick_after(F.max(ts), step_seconds).alias("b"))
-    last = F.col("b") if until is None else until
-    return ends.where("a is not null").select(F.explode(F.sequence("a", last, F.lit(step_seconds))).alias("tick"))
+def tick_spine(rows: DataFrame, step_seconds: int, ts: str = "ts", as_of: dt.datetime | None = None) -> DataFrame:
+    """Every evaluation tick from the first row to the last one, or to ``as_of``, with or without events.
+
+    The two ends are read first, so the ticks are made by many tasks. Without rows there are no ticks.
+    """
+    first, last = rows.agg(tick_after(F.min(ts), step_seconds), tick_after(F.max(ts), step_seconds)).first()
+    if as_of is not None:
+        last = calendar.timegm(as_of.timetuple()) // step_seconds * step_seconds
+    if first is None:
+        first, last = 0, -1
+    return rows.sparkSession.range(first, max(first, last + 1), step_seconds).select(F.col("id").alias("tick"))
 
 
 def on_spine(windowed: DataFrame, spine: DataFrame, sums: Sequence[str]) -> DataFrame:

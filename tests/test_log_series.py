@@ -199,3 +199,30 @@ def test_wide_correlations_match_pairwise(spark, monkeypatch):
     assert set(wide) == set(narrow) and len(wide) == 25
     assert all(wide[k] == (pytest.approx(v) if v is not None else None) for k, v in narrow.items())
     assert {key(r) for r in profiling.high_correlations(df).collect()} == strong == {("a", "b")}
+
+
+def test_a_log_that_stopped_is_judged_up_to_now(spark):
+    data = log(spark, [(i, 7200 - 60 * i, "1", 5.0, 200) for i in range(5)] + [(9, 6900, "1", None, 200)])
+    for rule in (alerts.no_predictions, alerts.low_volume, alerts.no_runs):
+        out = rule(data, window=600, hold_for=600, as_of=NOW).orderBy("tick_ts").collect()
+        assert out[-1].tick_ts == NOW and out[-1].firing and not out[0].firing
+        assert not any(r.firing for r in rule(data, window=600, hold_for=600).collect())
+    slow = alerts.slow_requests(data, 0.001, window=600, hold_for=0, as_of=NOW).orderBy("tick_ts").collect()
+    assert slow[0].active and slow[-1].value is None and not slow[-1].active
+
+
+def test_bucket_columns_give_the_quantile_of_bucket_rows(spark):
+    bounds = series.TIME_BOUNDS
+    rows = [(k, *sorted((k * 7 + 3 * i) % 11 for i in range(len(bounds) + 1))) for k in range(30)] + [(30, *[0] * 13), (31, *[0] * 12, 4)]
+    wide = spark.createDataFrame(rows, "tick int, " + ", ".join(f"b{i} int" for i in range(len(bounds))) + ", n int")
+    long = []
+    for k, *counts in rows:
+        long += [(k, str(b), float(b), c) for b, c in zip(bounds, counts)] + [(k, "+Inf", None, counts[-1])]
+    want = series.histogram_quantile(spark.createDataFrame(long, "tick int, le string, bound double, cum_count int"), 0.95, ["tick"])
+    got = {r.tick: r.v for r in wide.select("tick", alerts.bucket_quantile(0.95, bounds).alias("v")).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {r.tick: r.quantile for r in want.collect()}
+
+
+def test_slow_rules_need_one_window(spark):
+    plan = alerts.slow_requests(log(spark, [(1, 0, "1", 5.0, 200)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1
