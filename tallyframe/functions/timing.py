@@ -15,19 +15,26 @@ def newest(df: DataFrame, ts: str = "ts") -> Column:
     return df.agg(F.max(ts)).scalar()
 
 
-def moment(value: dt.datetime | Column | None, df: DataFrame, ts: str = "ts") -> Column:
-    """The end of a look-back window. ``None`` means the newest row."""
+def moment(value: dt.datetime | Column | None, df: DataFrame, ts: str = "ts", day: str | None = None) -> Column:
+    """The end of a look-back window. ``None`` means the newest row, looked for in the newest ``day`` if one is named."""
     if value is None:
-        return newest(df, ts)
+        return newest(last_day(df, day), ts)
     return value if isinstance(value, Column) else F.lit(value)
 
 
-def hours_before(df: DataFrame, hours: float, as_of: dt.datetime | Column | None = None, ts: str = "ts") -> Column:
+def last_day(df: DataFrame, day: str | None) -> DataFrame:
+    """Rows of the newest day; all rows if no day column is named."""
+    return df if day is None else df.where(F.col(day) == df.agg(F.max(day)).scalar())
+
+
+def hours_before(
+    df: DataFrame, hours: float, as_of: dt.datetime | Column | None = None, ts: str = "ts", day: str | None = None
+) -> Column:
     """Start of a look-back window. The subtraction is part of the subquery, so that the filter
     compares with a plain value the scan can use."""
     span = F.make_dt_interval(hours=F.lit(int(hours)), secs=F.lit((hours % 1) * 3600))
     if as_of is None:
-        return df.agg(F.max(ts) - span).scalar()
+        return last_day(df, day).agg(F.max(ts) - span).scalar()
     return moment(as_of, df, ts) - span
 
 
@@ -39,7 +46,7 @@ def since(
     day: str | None = None,
 ) -> DataFrame:
     """Rows newer than ``as_of - hours``. ``day`` names a date partition column to prune by."""
-    cutoff = hours_before(df, hours, as_of, ts)
+    cutoff = hours_before(df, hours, as_of, ts, day)
     out = df.where(F.col(ts) > cutoff)
     if day:
         out = out.where(F.col(day) >= F.to_date(cutoff))

@@ -170,11 +170,12 @@ def one_hot(
     max_columns: int = MAX_FLAG_COLUMNS,
 ) -> DataFrame:
     """One flag column per category. ``drop_first`` gives 0/1 doubles without the alphabetically
-    first category; otherwise booleans. NULL and values not seen at fit time set no flag."""
+    first category; otherwise booleans. NULL and values not seen at fit time set no flag. More categories than
+    ``max_columns`` are an error, however the list was made."""
     if values is None:
         values = categories(df, column, max_columns)
-        if values is None:
-            raise ValueError(f"{column} has more than {max_columns} categories, too many for one column each")
+    if values is None or len(values) > max_columns:
+        raise ValueError(f"{column} has more than {max_columns} categories, too many for one column each")
     flags = {v: F.coalesce(F.col(column) == F.lit(v), F.lit(False)) for v in values}
     if drop_first:
         return df.withColumns({f"{column}_{v}": flags[v].cast("double") for v in list(values)[1:]})

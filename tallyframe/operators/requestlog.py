@@ -70,7 +70,7 @@ def request_filter(
 
 def with_json_fields(log: DataFrame, criteria: Mapping[str, str | float | int | bool]) -> DataFrame:
     """Rows with a prediction whose payload matches every criterion: text fields as text,
-    others as numbers. The payload is parsed once for all fields."""
+    others as numbers, where true is 1 and false is 0. The payload is parsed once for all fields."""
     if not criteria:
         raise ValueError("no search criteria given")
     fields = list(criteria)
@@ -78,7 +78,8 @@ def with_json_fields(log: DataFrame, criteria: Mapping[str, str | float | int |
     out = log.where(F.col("prediction").isNotNull()).withColumn("_payload", payload)
     for f in fields:
         wanted, held = criteria[f], F.col("_payload")[f]
-        out = out.where(held == F.lit(wanted) if isinstance(wanted, str) else as_number(held) == F.lit(float(wanted)))
+        number = F.when(held == "true", F.lit(1.0)).when(held == "false", F.lit(0.0)).otherwise(as_number(held))
+        out = out.where(held == F.lit(wanted) if isinstance(wanted, str) else number == F.lit(float(wanted)))
     return out.drop("_payload")
 
 
@@ -197,9 +198,9 @@ def perf_last_n(log: DataFrame, n: int = 1000) -> DataFrame:
     )
 
 
-def outside_two_sigma(log: DataFrame, hours: float | None = 24, as_of: AsOf = None, sigmas: float = 2.0) -> DataFrame:
+def outside_two_sigma(log: DataFrame, hours: float | None = 24, as_of: AsOf = None, sigmas: float = 2.0, day: str | None = None) -> DataFrame:
     """Rows whose prediction lies outside mean ± ``sigmas`` sample deviations of the window."""
-    rows = log if hours is None else since(log, hours, as_of)
+    rows = log if hours is None else since(log, hours, as_of, day=day)
     rows = rows.where(F.col("prediction").isNotNull())
     value = prediction_value(rows)
     stats = rows.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))).scalar()
@@ -217,12 +218,13 @@ def outlier_ratio(
     threshold: float = 0.1,
     min_rows: int = 10,
     sigmas: float = 2.0,
+    day: str | None = None,
 ) -> DataFrame:
     """Share of outlying predictions in the window and whether it means degradation.
 
     Values that cannot be read as numbers count in the denominator only.
     """
-    rows = since(log, hours, as_of).where(F.col("prediction").isNotNull())
+    rows = since(log, hours, as_of, day=day).where(F.col("prediction").isNotNull())
     value = prediction_value(rows)
     stats = rows.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))).scalar()
     counted = rows.agg(

@@ -33,9 +33,10 @@ def decision(
     interval_hours: float = 24,
     threshold: float = 0.1,
     hours: float = 24,
+    day: str | None = None,
 ) -> DataFrame:
     """Degradation goes first, then the schedule. Two one-row subqueries, no join."""
-    degraded = outlier_ratio(log, hours, log_as_of, threshold).select("degraded").scalar()
+    degraded = outlier_ratio(log, hours, log_as_of, threshold, day=day).select("degraded").scalar()
     due = schedule(events, as_of, interval_hours).select("due").scalar()
     base = events.agg(F.count(F.lit(1)).alias("past_events"))
     reason = F.when(F.col("degraded"), F.lit(REASONS[1])).when(F.col("due"), F.lit(REASONS[2]))

@@ -45,9 +45,11 @@ def metrics_from_requests(log: DataFrame) -> DataFrame:
     return log.select("ts", F.inline(F.array_compact(rows)))
 
 
-def metric_stats(metrics: DataFrame, name: str, hours: float = 24, as_of: AsOf = None) -> DataFrame:
+def metric_stats(
+    metrics: DataFrame, name: str, hours: float = 24, as_of: AsOf = None, day: str | None = None
+) -> DataFrame:
     """count, avg, min, max, sum of one metric in the window; zeros when there is none."""
-    rows = since(metrics, hours, as_of).where(F.col("metric_name") == name)
+    rows = since(metrics, hours, as_of, day=day).where(F.col("metric_name") == name)
     v = "metric_value"
     zero = F.lit(0.0)
     return rows.agg(
@@ -165,12 +167,12 @@ def histogram_quantile(hist: DataFrame, q: float, labels: Sequence[str], out: st
 # --- gauges and info -----------------------------------------------------------------------
 
 
-def gauges(log: DataFrame, as_of: AsOf = None) -> DataFrame:
+def gauges(log: DataFrame, as_of: AsOf = None, day: str | None = None) -> DataFrame:
     """Current values as ``(metric, value)`` from one scan of the last 24 hours."""
-    end = moment(as_of, log)
-    day = since(log, 24, as_of)
-    value = prediction_value(day)
-    one = day.agg(
+    end = moment(as_of, log, day=day)
+    rows = since(log, 24, as_of, day=day)
+    value = prediction_value(rows)
+    one = rows.agg(
         F.count_if(F.col("ts") > end - F.expr("INTERVAL 1 HOUR")).cast("double").alias("predictions_last_hour"),
         F.count(F.lit(1)).cast("double").alias("predictions_last_24h"),
         F.avg(value).alias("average_prediction_value_dollars"),
@@ -311,10 +313,10 @@ def time_heatmap(log: DataFrame, window_seconds: int = 300, bounds: Sequence[flo
     return keyed.groupBy("tick_ts", "le").agg(F.count(F.lit(1)).alias("requests"))
 
 
-def rate_by_horizon(log: DataFrame, horizons: Sequence[int] = (1, 6, 24, 168), as_of: AsOf = None) -> DataFrame:
+def rate_by_horizon(log: DataFrame, horizons: Sequence[int] = (1, 6, 24, 168), as_of: AsOf = None, day: str | None = None) -> DataFrame:
     """Predictions per hour over several look-back horizons, in one scan of the longest."""
-    end = moment(as_of, log)
-    made = since(log, max(horizons), as_of).where(F.col("prediction").isNotNull())
+    end = moment(as_of, log, day=day)
+    made = since(log, max(horizons), as_of, day=day).where(F.col("prediction").isNotNull())
     one = made.agg(
         *[F.count_if(F.col("ts") > end - F.make_dt_interval(hours=F.lit(int(h)))).alias(f"h{h}") for h in horizons]
     )
@@ -330,11 +332,16 @@ def rate_by_horizon(log: DataFrame, horizons: Sequence[int] = (1, 6, 24, 168), a
 
 
 def prediction_deviation(
-    log: DataFrame, recent_hours: int = 24, baseline_hours: int = 168, threshold: float = 20.0, as_of: AsOf = None
+    log: DataFrame,
+    recent_hours: int = 24,
+    baseline_hours: int = 168,
+    threshold: float = 20.0,
+    as_of: AsOf = None,
+    day: str | None = None,
 ) -> DataFrame:
     """Shift of the mean prediction against the period before it, in percent."""
-    end = moment(as_of, log)
-    rows = since(log, recent_hours + baseline_hours, as_of)
+    end = moment(as_of, log, day=day)
+    rows = since(log, recent_hours + baseline_hours, as_of, day=day)
     value = prediction_value(rows)
     is_recent = F.col("ts") > end - F.make_dt_interval(hours=F.lit(recent_hours))
     one = rows.agg(
