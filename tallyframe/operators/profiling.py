@@ -1,13 +1,12 @@
-"""Table profiles. Each family reads the table once with all columns in one aggregate."""
+"""Table profiles. Numbers of columns do not matter: cells are stacked as rows of one scan, and pairs
+of columns are summed as matrices in one more."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,59 +15,76 @@ from tallyframe.functions.numeric import (
     adjusted_skewness,
     category_columns,
     numeric_columns,
-    pairwise_corr,
 )
 from tallyframe.operators.quantiles import exact_quantiles
 
-# Measures per aggregate: plain ones, and correlations with their larger buffers.
-WIDTH, PAIR_WIDTH = 30, 9
-# Beyond this many columns the pairs go through one matrix product.
-MANY_COLUMNS = 24
-
-
 def _lit_double(v: float | None) -> Column:
     return F.lit(v).cast("double")
 
 
-def long_rows(
-    df: DataFrame, rows: Sequence[tuple[dict[str, str], dict[str, Column]]], width: int = WIDTH
-) -> DataFrame:
-    """One output row per entry: constant labels plus aggregates over the whole table.
+def _stacked(df: DataFrame, columns: Sequence[str], numeric: Sequence[str]) -> DataFrame:
+    """``column_name, value, is_null``: every cell of the columns as a row, from one scan of any width.
 
-    Aggregates with very many buffers leave code generation and run several times slower,
-    so entries are packed into aggregates of about ``width`` measures. These run side by side
-    and each reads only its own columns: list the entries of a column together.
+    ``value`` is NULL for columns that are not numeric. One more row per column, with NULL in both fields,
+    keeps columns of empty tables in the result of a grouping.
     """
-    packs: list[list[int]] = [[]]
-    used = 0
-    for i, (_, measures) in enumerate(rows):
-        if packs[-1] and used + len(measures) > width:
-            packs.append([])
-            used = 0
-        packs[-1].append(i)
-        used += len(measures)
-    out = None
-    for pack in packs:
-        one = df.agg(*[m.alias(f"m{i}_{name}") for i in pack for name, m in rows[i][1].items()])
-        cells = [
-            F.struct(
-                *[F.lit(v).alias(k) for k, v in rows[i][0].items()],
-                *[F.col(f"m{i}_{name}").alias(name) for name in rows[i][1]],
-            )
-            for i in pack
-        ]
-        piece = one.select(F.inline(F.array(*cells)))
-        out = piece if out is None else out.unionByName(piece)
-    return out
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            (F.col(f"`{c}`").cast("double") if c in numeric else F.lit(None).cast("double")).alias("value"),
+            F.col(f"`{c}`").isNull().alias("is_null"),
+        )
+        for c in columns
+    ]
+    seeds = df.sparkSession.createDataFrame([(c, None, None) for c in columns], "column_name string, value double, is_null boolean")
+    return df.select(F.inline(F.array(*cells))).unionByName(seeds)
 
 
-def _per_column(
-    df: DataFrame, columns: Sequence[str], stats: dict[str, callable], width: int = WIDTH
-) -> DataFrame:
-    """One row per column holding the named aggregates."""
-    return long_rows(
-        df, [({"column_name": c}, {stat: make(c) for stat, make in stats.items()}) for c in columns], width
-    )
+def _per_column(df: DataFrame, columns: Sequence[str], stats: dict[str, callable]) -> DataFrame:
+    """One row per column holding the named aggregates of its values; the table is read once."""
+    rows = _stacked(df, columns, columns)
+    return rows.groupBy("column_name").agg(*[make("value").alias(stat) for stat, make in stats.items()])
+
+
+SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``a, b, correlation`` for every two of the columns (``a`` not after ``b``, each with itself too) over the
+    rows that have both; NULL where one of them is constant there.
+
+    Two scans at any width: one for means, one in which every task sums its centred products as small
+    matrices. Only these sums, a row per pair and task, are shuffled.
+    """
+    columns = list(columns)
+    means = _per_column(df, columns, {"mean": F.avg, "low": F.min, "high": F.max}).collect()
+    centre = {r.column_name: r.low if r.low == r.high else r.mean for r in means}
+    shift = np.array([centre[c] if centre[c] is not None else 0.0 for c in columns])
+    first, second = np.triu_indices(len(columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(SUMS), len(columns), len(columns)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float) - shift
+            here = ~np.isnan(x)
+            x, here = np.where(here, x, 0.0), here.astype(float)
+            total += np.stack([here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x])
+        arrays = [pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32)), *(pa.array(t[first, second]) for t in total)]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", *SUMS])
+
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    parts = numbers.mapInArrow(run, "i int, j int, " + ", ".join(f"{s} double" for s in SUMS))
+    sums = parts.groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS])
+
+    def spread(squares: str, plain: str) -> Column:
+        rest = F.col(squares) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
+        return F.when(rest > F.col(squares) * 1e-12, rest)  # what is left of a constant is rounding
+
+    both = F.sqrt(spread("sxx", "sx") * spread("syy", "sy"))
+    shared = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    value = F.when(F.col("i") == F.col("j"), F.when(spread("sxx", "sx").isNotNull(), 1.0)).otherwise(shared / both)
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(F.get(names, "i").alias("a"), F.get(names, "j").alias("b"), value.alias("correlation"))
 
 
 def structure(df: DataFrame) -> DataFrame:
@@ -156,84 +172,26 @@ def high_skew(df: DataFrame, columns: Sequence[str] | None = None, threshold: fl
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Full correlation matrix in long form; each pair is computed once and mirrored."""
-    columns = list(columns or numeric_columns(df))
-    if len(columns) > MANY_COLUMNS:
-        return _wide_correlations(df, columns)
-    diagonal = [
-        ({"feature_1": c, "feature_2": c}, {"correlation": F.when(F.var_pop(c) > 0, F.lit(1.0))}) for c in columns
-    ]
-    swapped = F.struct(
-        F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), F.col("correlation")
-    )
-    both = F.array(F.struct("feature_1", "feature_2", "correlation"), swapped)
-    out = long_rows(df, diagonal)
-    if len(columns) > 1:
-        pairs = _upper_correlations(df, columns)
-        out = pairs.select(F.inline(both)).unionByName(out)
-    return out
-
-
-def _wide_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """For many columns: one distributed product of the complete rows covers all pairs of
-    columns without gaps; only columns with NULLs need the pairwise form."""
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()) for c in columns]).first()
-    full = [c for c, n in zip(columns, nulls) if not n]
-    gaps = [c for c, n in zip(columns, nulls) if n]
-    pairs = [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a in gaps for b in full]
-    pairs += [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a, b in combinations(gaps, 2)]
-    out = long_rows(
-        df, [({"feature_1": c, "feature_2": c}, {"correlation": F.when(F.var_pop(c) > 0, F.lit(1.0))}) for c in columns]
-    )
-    if pairs:
-        found = long_rows(df, pairs, PAIR_WIDTH)
-        out = out.unionByName(found).unionByName(
-            found.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
-        )
-    if len(full) > 1:
-        vectors = VectorAssembler(inputCols=full, outputCol="v").transform(df.select(*full)).select("v")
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        cells = [
-            (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
-            for i, a in enumerate(full)
-            for j, b in enumerate(full)
-            if i != j
-        ]
-        out = out.unionByName(
-            df.sparkSession.createDataFrame(cells, "feature_1 string, feature_2 string, correlation double")
-        )
-    return out
-
-
-def _upper_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each pair once, in column order."""
-    pairs = [({"feature_1": a, "feature_2": b}, {"correlation": pairwise_corr(a, b)}) for a, b in combinations(columns, 2)]
-    return long_rows(df, pairs, PAIR_WIDTH)
+    pairs = pair_correlations(df, list(columns or numeric_columns(df)))
+    one = F.struct(F.col("a").alias("feature_1"), F.col("b").alias("feature_2"), F.col("correlation"))
+    other = F.struct(F.col("b").alias("feature_1"), F.col("a").alias("feature_2"), F.col("correlation"))
+    return pairs.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(one)).otherwise(F.array(one, other))))
 
 
 def high_correlations(df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.7) -> DataFrame:
     """Pairs with a strong correlation, each once, in column order."""
-    columns = list(columns or numeric_columns(df))
-    if len(columns) > MANY_COLUMNS:
-        place = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
-        pairs = _wide_correlations(df, columns).where(place[F.col("feature_1")] < place[F.col("feature_2")])
-    else:
-        pairs = _upper_correlations(df, columns)
+    pairs = pair_correlations(df, list(columns or numeric_columns(df))).where(F.col("a") != F.col("b"))
+    pairs = pairs.select(F.col("a").alias("feature_1"), F.col("b").alias("feature_2"), "correlation")
     return pairs.where(F.abs("correlation") > threshold)
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     columns = list(columns or numeric_columns(df))
-    stats = _per_column(
-        df,
-        columns,
-        {
-            "correlation": lambda c: F.when(F.var_pop(target) > 0, F.lit(1.0))
-            if c == target
-            else pairwise_corr(c, target)
-        },
-        PAIR_WIDTH,
+    pairs = pair_correlations(df, list(dict.fromkeys([*columns, target])))
+    stats = pairs.where((F.col("a") == target) | (F.col("b") == target)).select(
+        F.when(F.col("a") == target, F.col("b")).otherwise(F.col("a")).alias("column_name"), "correlation"
     )
-    return stats.orderBy(F.desc_nulls_last("correlation"), "column_name")
+    return stats.where(F.col("column_name").isin(*columns)).orderBy(F.desc_nulls_last("correlation"), "column_name")
 
 
 def strong_predictors(
@@ -323,9 +281,7 @@ def boxplot(df: DataFrame, columns: Sequence[str] | None = None, reach: float =
         df,
         columns,
         {
-            "outliers": lambda c: F.count_if(
-                (F.col(c) < _lit_double(fences[c][0])) | (F.col(c) > _lit_double(fences[c][1]))
-            )
+            "outliers": lambda c: F.count_if((F.col(c) < _by_name(fences, 0)) | (F.col(c) > _by_name(fences, 1)))
         },
     )
     named = {"q1": _by_name(quartiles, 0), "median": _by_name(quartiles, 1), "q3": _by_name(quartiles, 2)}
@@ -340,32 +296,55 @@ def full_profile(
     columns = list(columns or numeric_columns(df))
     categories = list(categories or category_columns(df))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    plain = [("structure", "*", "rows", F.count(F.lit(1)))]
-    plain += [("missing", c, "count", F.count_if(F.col(c).isNull())) for c in df.columns]
-    moments, pairs = [], []
-    for c in columns:
-        moments += [
-            ("describe", c, "count", F.count(c)),
-            ("describe", c, "mean", F.avg(c)),
-            ("describe", c, "std", F.stddev_samp(c)),
-            ("describe", c, "min", F.min(c)),
-            ("describe", c, "max", F.max(c)),
-            ("distribution", c, "skewness", adjusted_skewness(c)),
-            ("distribution", c, "kurtosis", adjusted_kurtosis(c)),
-            ("distribution", c, "variance", F.var_pop(c)),
-        ]
-        moments += [
-            ("describe", c, stat, F.max(_lit_double(quartiles[c][i]))) for i, stat in enumerate(("q25", "q50", "q75"))
-        ]
-        if c != target:
-            pairs.append(("target_correlation", c, target, pairwise_corr(c, target)))
-    pairs += [("correlation", a, b, pairwise_corr(a, b)) for a, b in combinations(columns, 2)]
-    out = None
-    for group, width in ((plain, 90), (moments, WIDTH), (pairs, PAIR_WIDTH)):
-        rows = [({"section": s, "column_name": c, "stat": t}, {"value": m.cast("double")}) for s, c, t, m in group]
-        if rows:
-            piece = long_rows(df, rows, width)
-            out = piece if out is None else out.unionByName(piece)
+    v = F.col("value")
+    moments = {
+        ("describe", "count"): F.count(v),
+        ("describe", "mean"): F.avg(v),
+        ("describe", "std"): F.stddev_samp(v),
+        ("describe", "min"): F.min(v),
+        ("describe", "max"): F.max(v),
+        ("distribution", "skewness"): adjusted_skewness("value"),
+        ("distribution", "kurtosis"): adjusted_kurtosis("value"),
+        ("distribution", "variance"): F.var_pop(v),
+    }
+    measured = _stacked(df, df.columns, columns).groupBy("column_name").agg(
+        F.count("is_null").alias("rows"),
+        F.count_if("is_null").alias("missing"),
+        *[m.cast("double").alias(f"m{i}") for i, m in enumerate(moments.values())],
+    )
+
+    def cell(section: str, column: Column, stat: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(section).alias("section"), column.alias("column_name"), F.lit(stat).alias("stat"), value.cast("double").alias("value")
+        )
+
+    name = F.col("column_name")
+    always = [cell("missing", name, "count", F.col("missing"))]
+    numbers = [cell(section, name, stat, F.col(f"m{i}")) for i, (section, stat) in enumerate(moments)]
+    numbers += [cell("describe", name, stat, _by_name(quartiles, i)) for i, stat in enumerate(("q25", "q50", "q75"))]
+    rows = F.when(name == df.columns[0], F.array(cell("structure", F.lit("*"), "rows", F.col("rows"))))
+    nothing = F.array().cast("array<struct<section:string,column_name:string,stat:string,value:double>>")
+    cells = F.concat(
+        F.array(*always), F.coalesce(rows, nothing), F.when(name.isin(*columns), F.array(*numbers)).otherwise(nothing)
+    )
+    out = measured.select(F.inline(cells))
+    own = list(dict.fromkeys([*columns, target]))
+    a, b = F.col("a"), F.col("b")
+    pairs = pair_correlations(df, own).where(a != b)
+    listed = F.array(
+        F.when(a.isin(*columns) & b.isin(*columns), F.struct(F.lit("correlation").alias("section"), a.alias("column_name"), b.alias("stat"))),
+        F.when(
+            (a == target) | (b == target),
+            F.struct(
+                F.lit("target_correlation").alias("section"),
+                F.when(a == target, b).otherwise(a).alias("column_name"),
+                F.lit(target).alias("stat"),
+            ),
+        ),
+    )
+    out = out.unionByName(
+        pairs.select(F.explode(F.array_compact(listed)).alias("p"), "correlation").select("p.*", F.col("correlation").alias("value"))
+    )
     if categories:
         counts = value_counts(df, categories).select(
             F.lit("category").alias("section"),

@@ -181,7 +181,8 @@ def test_category_ties_go_to_the_smaller_value(spark):
     assert (row.unique_values, row.most_frequent, row.most_frequent_count) == (3, "a", 2)
 
 
-def test_wide_correlations_match_pairwise(spark, monkeypatch):
+def test_correlations_match_the_pairwise_aggregate(spark):
+    from tallyframe.functions.numeric import pairwise_corr
     from tallyframe.operators import profiling
 
     df = spark.range(200).select(
@@ -189,16 +190,28 @@ def test_wide_correlations_match_pairwise(spark, monkeypatch):
         (F.rand(1) * 2 + F.rand(2)).alias("b"),
         F.when(F.rand(3) > 0.3, F.rand(4)).alias("gap"),
         F.when(F.rand(5) > 0.3, F.rand(4)).alias("gap2"),
-        F.lit(1.0).alias("constant"),
+        F.lit(0.1).alias("constant"),
+        (F.rand(6) + 1e6).alias("far"),
     ).cache()
-    key = lambda r: (r.feature_1, r.feature_2)
-    narrow = {key(r): r.correlation for r in profiling.correlations(df).collect()}
-    strong = {key(r) for r in profiling.high_correlations(df).collect()}
-    monkeypatch.setattr(profiling, "MANY_COLUMNS", 2)
-    wide = {key(r): r.correlation for r in profiling.correlations(df).collect()}
-    assert set(wide) == set(narrow) and len(wide) == 25
-    assert all(wide[k] == (pytest.approx(v) if v is not None else None) for k, v in narrow.items())
-    assert {key(r) for r in profiling.high_correlations(df).collect()} == strong == {("a", "b")}
+    names = df.columns
+    row = df.agg(*[pairwise_corr(x, y).alias(f"{x}|{y}") for x in names for y in names]).first()
+    got = {f"{r.feature_1}|{r.feature_2}": r.correlation for r in profiling.correlations(df).collect()}
+    assert len(got) == 36
+    assert all(got[k] == (pytest.approx(v, abs=1e-6) if v is not None else None) for k, v in row.asDict().items())
+    assert {(r.feature_1, r.feature_2) for r in profiling.high_correlations(df).collect()} == {("a", "b")}
+
+
+@pytest.mark.parametrize("width", [4, 24, 60])
+def test_profiles_read_the_table_at_most_three_times(spark, width, tmp_path):
+    from tallyframe.operators import profiling
+
+    spark.range(50).select(*[F.rand(k).alias(f"c{k}") for k in range(width)], F.lit("x").alias("kind")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for made in (profiling.full_profile(df, "c0"), profiling.correlations(df), profiling.describe(df), profiling.boxplot(df)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert 1 <= plan.count("FileScan parquet") <= 3
+    empty = profiling.describe(df.limit(0)).collect()
+    assert len(empty) == width and all(r["count"] == 0 for r in empty)
 
 
 def test_a_log_that_stopped_is_judged_up_to_now(spark):
