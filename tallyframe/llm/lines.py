@@ -101,10 +101,13 @@ def drop_repeated_lines(
     places = F.transform("_gone", lambda i: F.get("_full", i))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), places)
     kept = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
-    same = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (text, "n_lines", "n_removed")]
-    return out.select(
-        *same,
-        F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(kept).alias(text),
+    # the explode of one row keeps filters on the result from being pushed down, where they would split the
+    # text again for each of its lines
+    made = F.struct(
+        F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(kept).alias("text"),
         F.coalesce(F.size("_full"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
+    out = out.select("_row", F.explode(F.array(made)).alias("_made"))
+    same = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in (text, "n_lines", "n_removed")]
+    return out.select(*same, F.col("_made.text").alias(text), "_made.n_lines", "_made.n_removed")
