@@ -47,7 +47,29 @@ def op4_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), packing.SIZE, with_ids=False)
 
 
-@query("op6_seed_extend")
+@query(
+    "op6_seed_extend",
+    r"""
+    WITH cut AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), windows AS (
+      SELECT doc_id, p, array_to_string(ws[p:p + 19], ' ') AS words
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS p FROM cut WHERE len(ws) >= 20)
+    ), later AS (
+      SELECT doc_id, p FROM windows QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, p) > 1
+    ), gone AS (
+      SELECT DISTINCT doc_id, p + k AS i FROM (SELECT doc_id, p, unnest(range(20)) AS k FROM later)
+    ), each AS (
+      SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM cut
+    ), kept AS (
+      SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) FILTER (WHERE g.i IS NULL) AS text, count(g.i) AS n_removed
+      FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id
+    )
+    SELECT c.doc_id, CAST(len(c.ws) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+      sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM cut c LEFT JOIN kept k ON k.doc_id = c.doc_id
+    """,
+)
 def op6_seed_extend(spark: SparkSession, folder: str) -> DataFrame:
     """Digest of every document less its passages of 20 words that start earlier."""
     kept = substrings.drop_repeated_passages(table(spark, folder, "documents"))
