@@ -174,13 +174,21 @@ def _(spark, folder):
 
 # The feature table is built from orders, so it explains the room count and not the price.
 ROOMS = {
-    "numeric": ("housing_median_age", "population", "households", "median_income"),
+    "numeric": (
+        "longitude", "latitude", "housing_median_age", "total_bedrooms", "population", "households", "median_income", "median_house_value",
+    ),
     "ratios": {"population_per_household": ("population", "households")},
     "log_columns": ("population", "households"),
     "target": "total_rooms",
 }
 
 
+@query("pipeline_summary")
+def _(spark, folder):
+    """The summary of a run: its feature counts are those of the engineered table."""
+    return tidy(workflow.run(_data(spark, folder), "block_id", ROOMS["target"], [_spec("linear"), _spec("tree")]).summary, 4)
+
+
 # One input and no categories: the fit is a simple regression, which SQL can repeat.
 ONE_INPUT = {"numeric": ("population",), "ratios": {}, "log_columns": ("population",), "category": None, "target": "total_rooms"}
 HASH = "CAST('0x' || substr(md5(CAST(block_id AS VARCHAR) || '|42'), 1, 8) AS BIGINT)"
@@ -230,13 +238,13 @@ def _(spark, folder):
 
 @query("train_forest")
 def _(spark, folder):
-    return _metrics(_trained(spark, folder, "forest", numTrees=10)[1][1])
+    return _metrics(_trained(spark, folder, "forest")[1][1])
 
 
 @query("train_candidates")
 def _(spark, folder):
     """All candidates on one split, best first."""
-    _, runs = training.train_models(_data(spark, folder), "block_id", [_spec("linear"), _spec("tree")])
+    _, runs = training.train_models(_data(spark, folder), "block_id", [_spec("linear"), _spec("tree"), _spec("forest")])
     return tidy(registry.compare_models(runs), 4)
 
 
@@ -255,14 +263,14 @@ def _(spark, folder):
 
 
 @query("eval_cv", over("blocks", clean_sql(500000) + f""",
-  d AS (SELECT ln(1e0 + population) AS x, total_rooms AS y, {HASH} % 3 AS fold FROM clean),
-  fits AS (SELECT f, regr_slope(y, x) AS slope, regr_intercept(y, x) AS cut FROM d JOIN (SELECT unnest([0, 1, 2]) AS f) ON fold <> f GROUP BY f),
+  d AS (SELECT ln(1e0 + population) AS x, total_rooms AS y, {HASH} % 5 AS fold FROM clean),
+  fits AS (SELECT f, regr_slope(y, x) AS slope, regr_intercept(y, x) AS cut FROM d JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS f) ON fold <> f GROUP BY f),
   per_fold AS (SELECT fold, avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - sum(e * e) / (count(*) * var_pop(y)) AS r2
     FROM (SELECT fold, y, y - cut - slope * x AS e FROM d JOIN fits ON fold = f) GROUP BY fold)
 """ + "\nUNION ALL ".join(f"SELECT '{m}' AS metric, {r(f'avg({m})', 4)} AS mean, {r(f'stddev_pop({m})', 4)} AS std FROM per_fold" for m in ("mse", "mae", "r2"))))
 def _(spark, folder):
     spec = training.ModelSpec("one_input", "linear", **ONE_INPUT)
-    return tidy(training.cross_validate(_data(spark, folder), "block_id", spec, 3)[1], 4)
+    return tidy(training.cross_validate(_data(spark, folder), "block_id", spec, 5)[1], 4)
 
 
 @query("feature_importance")

@@ -7,6 +7,8 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
@@ -80,12 +82,15 @@ DEFAULT_SPECS = (
 
 
 def complete_rows(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Rows a model can be fitted on: a label, a category, and no missing numbers but those
-    the median fill covers in all cases (a missing ratio input would stay missing)."""
+    """Rows a model can be fitted on: a label, a category, logged columns above -1 (at or below it the
+    logarithm is missing), and no missing numbers but those the median fill covers in all cases (a
+    missing ratio input would stay missing)."""
     needed = [spec.target] + ([spec.category] if spec.category else [])
     out = df.dropna("any", subset=needed)
     for _, (_, bottom) in spec.ratios.items():
         out = out.where(F.coalesce(F.col(bottom), F.lit(1.0)) != 0)
+    for c in spec.log_columns:
+        out = out.where(F.coalesce(F.col(c), F.lit(0.0)) > -1)
     return out
 
 
@@ -99,7 +104,9 @@ def train_track(
     model = spec.build().fit(usable.where(F.col(split) == "train"))
     predicted = model.transform(usable).select(split, F.col(spec.target).alias("y"), F.col("prediction").alias("y_hat"))
     scores = {r[split]: r for r in evaluate(predicted, [split]).collect()}
-    metrics = {f"{s}_{m}": float(scores[s][m]) for s in ("train", "test") if s in scores for m in ("rmse", "r2")}
+    # a side with one row or a constant target has no r2
+    metrics = {f"{s}_{m}": scores[s][m] for s in ("train", "test") if s in scores for m in ("rmse", "r2")}
+    metrics = {k: None if v is None else float(v) for k, v in metrics.items()}
     params = {
         "model_type": spec.kind,
         "log_columns": ",".join(spec.log_columns),
@@ -206,13 +213,18 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str,
 def load_from_registry(
     spark: SparkSession, versions: DataFrame, name: str, stage: str, root: str, fallback: str | None = None
 ) -> tuple[PipelineModel, dict]:
-    """The newest version of the stage from ``root/name/version``, else the fallback path."""
+    """The newest version of the stage from ``root/name/version``; the fallback path if there is none, or if
+    its files are broken or gone. Without a fallback that is an error."""
     from tallyframe.operators.registry import latest_version
 
     found = latest_version(versions, name, stage).first()
     if found is not None:
-        model, _ = load_model(spark, f"{root}/{name}/{found['version']}")
-        return model, {**found.asDict(), "source": "registry"}
+        try:
+            model, _ = load_model(spark, f"{root}/{name}/{found['version']}")
+            return model, {**found.asDict(), "source": "registry"}
+        except (Py4JJavaError, PySparkException):
+            if fallback is None:
+                raise
     if fallback is None:
         raise ValueError(f"no model {name} in the registry and no fallback path")
     model, _ = load_model(spark, fallback)
