@@ -25,6 +25,7 @@ STEMS, VOTERS = 4096, 128  # stems the classifier sees, and how many of them (th
 FIT_ROWS = 20_000  # expected rows of the sample that the classifier is fitted to
 LABEL_ROWS = 1_000_000  # up to here labels (16 bytes a row) are broadcast
 EM_ROUNDS = 5
+LIFT = 5.0
 
 # Bytes cut off the ends of a word.
 MARKS = np.zeros(256, dtype=bool)
@@ -103,7 +104,9 @@ def stem_counts(labelled: DataFrame) -> DataFrame:
 
 def pick_stems(counts: DataFrame, toxic: int, clean: int, stems: int = STEMS) -> list[int]:
     """The stems that tell most, strongest first: more frequent in toxic texts than chance would make
-    any of all the stems tested (likelihood ratio, against the logarithm of their number)."""
+    any of all the stems tested (likelihood ratio, against the logarithm of their number), and at least
+    ``LIFT`` times as frequent as in clean texts: in large tables slight differences are certain too, and
+    many weak voters together would outvote the silence of the strong ones."""
     tested = counts.filter(F.col("toxic") + F.col("clean") >= 3)
     number = tested.count()
     n, share = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
@@ -112,7 +115,8 @@ def pick_stems(counts: DataFrame, toxic: int, clean: int, stems: int = STEMS) ->
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     ratio = 2 * (part(F.col("toxic"), n * share) + part(F.col("clean"), n * (1 - share)))
-    strong = tested.filter(F.col("toxic") > n * share).withColumn("ratio", ratio).filter(F.col("ratio") > 2 * np.log(max(number, 1)))
+    lift = (F.col("toxic") + 0.5) / (toxic + 1) / ((F.col("clean") + 0.5) / (clean + 1))
+    strong = tested.filter(lift >= LIFT).withColumn("ratio", ratio).filter(F.col("ratio") > 2 * np.log(max(number, 1)))
     return [r.stem for r in strong.orderBy(F.desc("ratio"), "stem").limit(stems).collect()]
 
 
