@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.llm.words import WORD_BASE, Sums, Texts, pieces, signed
 from tallyframe.session import new_folder
 
-MIN_WORDS, ANCHOR_WORDS = 20, 6
-KIND = ["h", "left", "span", "context"]
+MIN_WORDS, ANCHOR_WORDS = 20, 4
+KIND = ["h", "shape", "context"]
 
 
 def _seeds(texts: Texts, min_words: int, anchor_words: int) -> tuple[np.ndarray, ...]:
@@ -50,19 +50,22 @@ def _seeds(texts: Texts, min_words: int, anchor_words: int) -> tuple[np.ndarray,
 
 
 def seeds(docs: DataFrame, min_words: int, anchor_words: int) -> DataFrame:
-    """``doc, lo, left, span, h, context`` per seed of every text of ``docs`` (columns ``doc, text``)."""
-    names = ["doc", "lo", "left", "span", "h", "context"]
+    """``doc, lo, shape, h, context`` per seed of every text of ``docs`` (columns ``doc, text``).
+
+    ``shape`` is the place of the seed in the stretch's first window times 256, plus the further windows.
+    """
+    names = ["doc", "lo", "shape", "h", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, _, offsets, data in pieces(batch.column(1)):
                 rows, lo, left, span, h, context = _seeds(Texts(offsets, data), min_words, anchor_words)
-                arrays = [lo.astype(np.int32), left.astype(np.int16), span.astype(np.int16), signed(h), signed(context)]
+                arrays = [lo.astype(np.int32), (left * 256 + span).astype(np.int32), signed(h), signed(context)]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows + first)), *map(pa.array, arrays)], names)
 
     kind = docs.schema["doc"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc {kind}, lo int, left short, span short, h long, context long")
+    return docs.mapInArrow(run, f"doc {kind}, lo int, shape int, h long, context long")
 
 
 def _list(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -84,14 +87,14 @@ def _windows_of(joined: DataFrame, min_words: int) -> DataFrame:
                 texts = Texts(offsets, data)
                 sums = Sums(texts.word_hashes(), WORD_BASE)
                 row, part = _list(batch.column(2).slice(first, end - first))
-                times = part["span"].astype(np.int64) + 1
+                left, times = part["shape"].astype(np.int64) // 256, part["shape"].astype(np.int64) % 256 + 1
                 shift = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
                 row = np.repeat(row, times)
                 lo = np.repeat(part["lo"].astype(np.int64), times) + shift
                 start = texts.firsts[row] + lo
                 arrays = [
                     np.repeat(part["h"], times),
-                    (np.repeat(part["left"], times) - shift).astype(np.int16),
+                    (np.repeat(left, times) - shift).astype(np.int16),
                     signed(sums.of(start, start + min_words)),
                     lo.astype(np.int32),
                 ]
@@ -138,6 +141,13 @@ def _without(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, f"doc {kind}, n_words long, n_removed long, text string")
 
 
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read again: a join with them can then be split where it is skewed."""
+    path = new_folder(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def drop_repeated_passages(
     docs: DataFrame,
     min_words: int = MIN_WORDS,
@@ -152,24 +162,23 @@ def drop_repeated_passages(
     id, or earlier in the same one. Windows are judged on the input. The kept words are joined by one
     space. Null and empty texts give zero words and an empty text. Ids should be unique; rows that
     repeat an id and its text all get the result of that document. Rows without an id are left out of
-    comparisons and keep all words. Other columns are not read.
+    comparisons and keep all words. Other columns are not read. ``min_words`` may be up to 255.
     """
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
+    # both joins with the texts below read this one frame, so Spark shuffles the texts once
     known = named.filter(F.col("doc").isNotNull())
     found = seeds(known, min_words, anchor_words)
-    often = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    path = new_folder(docs.sparkSession, "seeds")
-    found.join(often, "h", "left_semi").write.parquet(path)
-    found = docs.sparkSession.read.parquet(path)
+    often = _stored(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "seed-hashes")
+    found = _stored(found.join(often, "h", "left_semi"), "seeds")
 
     kinds = found.groupBy(*KIND).agg(F.min(F.struct("doc", "lo")).alias("first"))
     kinds = kinds.select(*KIND, F.col("first.doc").alias("doc0"), F.col("first.lo").alias("lo0"))
     later = (F.col("doc") != F.col("doc0")) | (F.col("lo") != F.col("lo0"))
-    whole = found.join(kinds, KIND).filter(later).select("doc", "lo", (F.col("span") + min_words).alias("n"))
+    whole = found.join(kinds, KIND).filter(later).select("doc", "lo", (F.col("shape") % 256 + min_words).alias("n"))
 
     several = kinds.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    firsts = kinds.join(several, "h", "left_semi").select(F.col("doc0").alias("doc"), F.col("lo0").alias("lo"), "left", "span", "h")
-    parts = firsts.groupBy("doc").agg(F.collect_list(F.struct("lo", "span", "left", "h")).alias("parts"))
+    firsts = kinds.join(several, "h", "left_semi").select(F.col("doc0").alias("doc"), F.col("lo0").alias("lo"), "shape", "h")
+    parts = firsts.groupBy("doc").agg(F.collect_list(F.struct("lo", "shape", "h")).alias("parts"))
     windows = _windows_of(known.join(parts, "doc"), min_words)
     key = ["h", "offset", "window"]
     earliest = windows.groupBy(*key).agg(F.min(F.struct("doc", "lo")).alias("first"), F.count("*").alias("times"))
@@ -177,4 +186,5 @@ def drop_repeated_passages(
     single = windows.join(earliest, key).filter(later).select("doc", "lo", F.lit(min_words).alias("n"))
 
     gone = whole.unionByName(single).groupBy("doc").agg(F.collect_list(F.struct("lo", "n")).alias("parts"))
-    return _without(named.join(gone, "doc", "left")).withColumnRenamed("doc", doc_id)
+    nameless = named.filter(F.col("doc").isNull()).withColumn("parts", F.lit(None).cast(gone.schema["parts"].dataType))
+    return _without(known.join(gone, "doc", "left").unionByName(nameless)).withColumnRenamed("doc", doc_id)
