@@ -46,6 +46,10 @@ ASIDE_WORDS = set(
     "replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 
+#: Parts of a class or id that speak of an element beside the article without being one.
+ABOUT = set("no not non has have with without".split())
+MOST = 0.5  # share of a page's text that no class or id puts beside the article
+
 _EVENT = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|textarea|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -54,7 +58,7 @@ _EVENT = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-_MARK = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORD = re.compile(r"[a-z0-9]+")
 _HOST = re.compile(r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)")
 
@@ -70,24 +74,34 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _beside_name(name: str) -> bool:
+    """Whether a class or id is a word of ``ASIDE_WORDS``, or begins or ends with one, and does not only speak of it."""
+    parts = _WORD.findall(name)
+    return bool(parts) and (parts[0] in ASIDE_WORDS or parts[-1] in ASIDE_WORDS) and not ABOUT & set(parts)
+
+
 class Tags:
     """What a tag means, remembered by its spelling."""
 
     def __init__(self) -> None:
         self.known: dict[tuple, tuple] = {}
 
-    def of(self, close: bool, name: str, attrs: str) -> tuple[str, bool, int]:
-        """Name, whether it opens an element beside the article, and its token."""
+    def of(self, close: bool, name: str, attrs: str) -> tuple[str, bool, bool, int]:
+        """Name, whether it opens an element beside the article, whether only its class or id says so, and its token."""
         key = (close, name, attrs)
         found = self.known.get(key)
         if found is None:
             name = name.lower()
-            marks = {k.lower(): v.strip("\"'").lower() for k, v in _MARK.findall(attrs)}
-            words = set(_WORD.findall(marks.get("class", "") + " " + marks.get("id", "")))
-            beside = name in ASIDE or bool(words & ASIDE_WORDS) or marks.get("role") in ASIDE_ROLES
+            marks: dict[str, str] = {}
+            for k, v in _ATTRIBUTE.findall(attrs):
+                marks.setdefault(k.lower(), v.strip("\"'").lower())
+            names = (marks.get("class", "") + " " + marks.get("id", "")).split()
+            named = name not in CONTENT and any(map(_beside_name, names))
+            beside = name in ASIDE or marks.get("role") in ASIDE_ROLES
             hidden = "hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", "")
             kept = "" if close else " ".join(f"{k}={marks[k]}" for k in ("class", "id", "role") if k in marks)
-            found = (name, (beside or hidden) and name not in ("html", "body"), _number(f"<{'/' * close}{name} {kept}>"))
+            sure, root = beside or hidden, name in ("html", "body")
+            found = (name, (sure or named) and not root, named and not sure and not root, _number(f"<{'/' * close}{name} {kept}>"))
             if len(self.known) > 100_000:
                 self.known.clear()
             self.known[key] = found
@@ -104,14 +118,28 @@ class Event:
 
 def events(html: str, tags: Tags) -> list[Event]:
     """Tags and texts of a page in order. A text knows whether it is inside an element beside the article,
-    inside the article's own element, and inside a link."""
+    inside the article's own element, and inside a link. An element that holds ``main`` or more than ``MOST`` of the text
+    is not beside the article for its class or id alone."""
+    out, held = _events(html, tags, frozenset())
+    return _events(html, tags, held)[0] if held else out
+
+
+def _events(html: str, tags: Tags, held: frozenset[int]) -> tuple[list[Event], frozenset[int]]:
+    """Events, with the named elements whose numbers are ``held`` taken as any other, and the numbers to hold."""
     out: list[Event] = []
     stack: list[tuple[str, bool, bool]] = []  # name, beside, content
     beside = content = link = False
     at = 0
+    # named elements: depth in the stack, number, text before, whether main is inside; depths of elements surely beside
+    opened: list[list] = []
+    sure: list[int] = []
+    inside: list[tuple[int, int, bool]] = []
+    chars = number = 0
 
     def text(part: str) -> None:
+        nonlocal chars
         words = " ".join(unescape(part).split())
+        chars += 0 if sure else len(words)
         if words or part:
             out.append(Event(False, _number(words) if words else 0, part, beside, content, link, False))
 
@@ -124,7 +152,7 @@ def events(html: str, tags: Tags) -> list[Event]:
             continue
         attrs = m["attrs"] if m["name"] else m["attrs2"]
         closing = bool(m["close"] or m["close2"])
-        name, opens_beside, token = tags.of(closing, spelled, attrs or "")
+        name, opens_beside, named, token = tags.of(closing, spelled, attrs or "")
         out.append(Event(True, token, " " if name == "br" else "", beside, content, link, name in BLOCKS))
         if name == "a":
             link = not closing
@@ -133,17 +161,31 @@ def events(html: str, tags: Tags) -> list[Event]:
         if not closing and (name in BLOCKS or opens_beside or name in CONTENT):
             if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and not opens_beside:
                 continue  # their ends may be left out
+            if named:
+                opened.append([len(stack), number, chars, False])
+            elif opens_beside:
+                sure.append(len(stack))
+            if name == "main" and not sure:
+                for mark in opened:
+                    mark[3] = True
             stack.append((name, beside, content))
-            beside, content = beside or opens_beside, content or name in CONTENT
+            beside, content = beside or opens_beside and not (named and number in held), content or name in CONTENT
+            number += named
         elif closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     beside, content = stack[k][1:]
                     del stack[k:]
+                    while opened and opened[-1][0] >= k:
+                        _, own, before, whole = opened.pop()
+                        inside.append((own, chars - before, whole))
+                    while sure and sure[-1] >= k:
+                        sure.pop()
                     break
     if at < len(html):
         text(html[at:])
-    return out
+    inside += [(own, chars - before, whole) for _, own, before, whole in opened]
+    return out, frozenset(own for own, n, whole in inside if whole or n > MOST * chars)
 
 
 def token_rows(own: DataFrame) -> DataFrame:

@@ -125,6 +125,26 @@ def test_pages(spark, element):
     assert pages.extract_pages(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "mark",
+    [
+        "<div class='content no-sidebar'>|</div>",
+        "<main class='has-sidebar'>|</main>",
+        "<div id='page-with-header'>|</div>",
+        "<article class='post related-3'>|</article>",
+        "<div data-class='menu'>|</div>",
+        "<div title='hidden gem'>|</div>",
+        "<div class='sidebar-layout'><main>|</main></div>",
+        "<div class='widget'>|</div>",
+    ],
+)
+def test_marks_do_not_discard_the_article(mark):
+    body = "<h1>Title of it</h1><p>" + "Long text of the article. " * 9 + "</p><div class='ad main-nav'>Buy this</div>"
+    page = "<body><div class='site-nav'>Home</div>" + mark.replace("|", body) + "<div class='widget'>Weather</div></body>"
+    text = pages._text_of(page, pages.Tags(), {}, None, set())
+    assert text == "Title of it\n" + ("Long text of the article. " * 9).strip()
+
+
 def test_page_events_end_on_broken_markup():
     tags = pages.Tags()
     for html in ("<" * 2000, "<a href='" * 500, "<!-- " * 300, "<script>" * 50, "</p>" * 100, "<div " + "x='" * 3000):
