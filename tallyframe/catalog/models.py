@@ -279,7 +279,11 @@ def _(spark, folder):
     return tidy(training.feature_importance(spark, model), 4)
 
 
-@query("model_save_load", over("blocks", clean_sql(500000) + "\nSELECT count(*) AS n, 0 AS differing, 9 AS features FROM clean"))
+# One feature per number and ratio, and one per category but the first.
+FEATURE_COUNT = f"{len(ROOMS['numeric']) + len(ROOMS['ratios'])} + count(DISTINCT ocean_proximity) - 1"
+
+
+@query("model_save_load", over("blocks", clean_sql(500000) + f"\nSELECT count(*) AS n, 0 AS differing, {FEATURE_COUNT} AS features FROM clean"))
 def _(spark, folder):
     """Rows whose prediction by the reloaded model differs from the original's: none."""
     data, (model, _) = _trained(spark, folder, "linear")
