@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, runs, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,20 @@ def op2_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op10_gated_recurrent(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document under word frequencies and under the network."""
     return recurrent.score_documents(table(spark, folder, "documents"))
+
+
+@query("op13_maximal_pair_runs")
+def op13_maximal_pair_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of twelve words or more of every document, after the periods planted by its id."""
+    found = runs.periodic_runs(runs.with_planted_periods(table(spark, folder, "documents")), 12)
+    best = found.withColumn("best", runs.longest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        runs.digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
