@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, runs, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, runs, search, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,34 @@ def op13_maximal_pair_runs(spark: SparkSession, folder: str) -> DataFrame:
         runs.digest(F.col("runs")).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    "op12_bag_search",
+    r"""
+    WITH cut AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+    ), total AS (
+      SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS terms FROM cut WHERE len(ts) > 0
+    ), sized AS (
+      SELECT doc_id, ts, 50 + (50 * len(ts) * docs) // terms AS m FROM cut, total WHERE len(ts) > 0
+    ), asked AS (
+      SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), held AS (
+      SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(ts) AS term FROM sized)
+      WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+    ), weights AS (
+      SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, total GROUP BY term, docs
+    ), scores AS (
+      SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM asked JOIN held USING (term) JOIN weights USING (term) GROUP BY ALL
+    )
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 50
+    """,
+)
+def op12_bag_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return search.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 50)
