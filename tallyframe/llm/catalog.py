@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.llm import counts, leaks, lines, neighbours, packing, pages, recurrent, runs, search, simhash, substrings, toxicity
+from tallyframe.llm import counts, leaks, lines, neighbours, outliers, packing, pages, recurrent, runs, search, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +197,12 @@ def op13_maximal_pair_runs(spark: SparkSession, folder: str) -> DataFrame:
 def op12_bag_search(spark: SparkSession, folder: str) -> DataFrame:
     """The fifty best documents of every benchmark item."""
     return search.best_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 50)
+
+
+@query("op11_covariance_outliers")
+def op11_covariance_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Text statistics of every document and whether it is kept."""
+    found = outliers.judge_documents(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"
+    )
