@@ -8,9 +8,8 @@ from tallyframe.llm import leaks, lines, packing, simhash, toxicity
 from tallyframe.llm.catalog import MIN_LINES, table, vocabulary
 from tallyframe.session import new_folder
 
-#: Near copies: sets of five-word shingles of Jaccard 0.8 or more. Candidates differ in one bit or none of a block of eight, in at
-#: most 22 of 64 bits, and in at most 73 of 256 (6 deviations above the mean at 0.8).
-NEAR_COPIES = simhash.Rule(words=5, radius=15, blocks=8, width=4, similarity=0.8, slack=6.0, reach=22)
+#: Near copies: fingerprints of four-word shingles that differ in at most 4 of 64 bits.
+NEAR_COPIES = simhash.Rule(words=4, radius=4)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,14 +8,10 @@ point is at most the node's limit, and a searching fingerprint to both sides onl
 inequality leaves both open. The upper levels are built on the driver from a bounded sample and
 say which shard holds a fingerprint and which shards it must search; the lower levels are built
 inside the shards. Every pair that is met is checked on all 64 bits, so links are exact.
-
-With a similarity, fingerprints only say which pairs are worth a look: these are listed, nearest first and
-some per text at a time, and linked if the sets of shingles themselves are as similar as that.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.llm.components import components
-from tallyframe.llm.words import Texts, mixed, pieces, signed
+from tallyframe.llm.words import Texts, pieces, signed
 from tallyframe.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -33,7 +29,6 @@ SAMPLE_ROWS = 20_000  # fingerprints that shape the upper levels of the trees
 SHARD_ROWS = 20_000  # fingerprints a shard should hold
 LEAF_ROWS = 96
 PAIRS_AT_ONCE = 1 << 20
-NEAREST = 8  # candidates a text lists in the first round, four times as many in each one after
 
 # Eight counters of one byte in a 64-bit word: the bits of a byte, one per counter. A counter holds LANE_ROWS ones.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
@@ -46,9 +41,8 @@ def _hashes(text: bytes, starts: list[int], ends: list[int]) -> np.ndarray:
     return np.fromiter((xxh64_intdigest(text[s:e], SEED) for s, e in zip(starts, ends)), dtype=np.uint64, count=len(starts))
 
 
-def _shingles(texts: Texts, words: int, distinct: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the word shingles of all rows one after the other, each once per row if ``distinct`` (then in order),
-    and their number per row."""
+def _shingles(texts: Texts, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of all rows one after the other, and their number per row."""
     joined, begins, ends = texts.joined()
     counts = texts.counts
     shingles = np.where(counts == 0, 0, np.maximum(counts - words + 1, 1))
@@ -57,106 +51,49 @@ def _shingles(texts: Texts, words: int, distinct: bool) -> tuple[np.ndarray, np.
     first_shingle = np.cumsum(shingles) - shingles
     place = np.arange(int(shingles.sum())) - np.repeat(first_shingle, shingles) + np.repeat(texts.firsts[:-1], shingles)
     last = np.minimum(place + words - 1, np.repeat(texts.firsts[1:], shingles) - 1)
-    hashes = _hashes(joined, begins[place].tolist(), ends[last].tolist())
-    if not distinct:
-        return hashes, shingles
-    rows = np.repeat(np.arange(texts.rows), shingles)
-    order = np.lexsort((hashes, rows))
-    hashes = hashes[order]
-    new = np.ones(len(hashes), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-    return hashes[new], np.bincount(rows[new], minlength=texts.rows)
-
-
-def _set_hashes(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
-    """One hash per row of its set of shingles, zero if it has none."""
-    sums, ends = np.zeros(len(hashes) + 1, dtype=np.uint64), np.cumsum(shingles)
-    np.cumsum(mixed(hashes), out=sums[1:])
-    return sums[ends] - sums[ends - shingles]
-
-
-def _fingerprints(hashes: np.ndarray, shingles: np.ndarray, width: int = 1) -> np.ndarray:
-    """``width`` times 64 bits per row: bits set in more than half of the hashes of the row's shingles.
-    Words after the first come from mixing the same hashes."""
-    out = np.zeros((len(shingles), width), dtype=np.uint64)
+    return _hashes(joined, begins[place].tolist(), ends[last].tolist()), shingles
+
+
+def _fingerprints(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """64 bits per row: bits set in more than half of the hashes of the row's shingles."""
     if not len(hashes):
-        return out
+        return np.zeros(len(shingles), dtype=np.uint64)
     first_shingle = np.cumsum(shingles) - shingles
     rows = np.repeat(np.arange(len(shingles)), shingles)
     run = (np.arange(len(hashes)) - np.repeat(first_shingle, shingles)) % LANE_ROWS
-    for k in range(width):
-        ones = np.zeros((len(shingles), 64), dtype=np.int64)
-        for at in range(0, len(hashes), PART_ROWS):
-            part = hashes[at : at + PART_ROWS]
-            part = mixed(part + np.uint64(k)) if k else part
-            begin = run[at : at + PART_ROWS] == 0
-            begin[0] = True
-            heads = np.flatnonzero(begin)
-            lanes = np.add.reduceat(SPREAD[part.view(np.uint8).reshape(-1, 8)], heads, axis=0)
-            np.add.at(ones, rows[at + heads], lanes.view(np.uint8).reshape(len(heads), 64))
-        set_bits = (2 * ones > shingles[:, None]).astype(np.uint8)
-        out[:, k] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
-    return out
-
-
-def fingerprints(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp, wide, shingles, same`` of every row: 64 bits as a signed number, all bits as bytes, the number of
-    shingles, and what rows that are alike have in common. That is the fingerprint; with a similarity, shingles
-    count once and it is a hash of their set. A text without words (or null) has zeros."""
-    sets = rule.similarity is not None
+    ones = np.zeros((len(shingles), 64), dtype=np.int64)
+    for at in range(0, len(hashes), PART_ROWS):
+        part = hashes[at : at + PART_ROWS]
+        begin = run[at : at + PART_ROWS] == 0
+        begin[0] = True
+        heads = np.flatnonzero(begin)
+        lanes = np.add.reduceat(SPREAD[part.view(np.uint8).reshape(-1, 8)], heads, axis=0)
+        np.add.at(ones, rows[at + heads], lanes.view(np.uint8).reshape(len(heads), 64))
+    set_bits = (2 * ones > shingles[:, None]).astype(np.uint8)
+    return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, offsets, data in pieces(batch.column(1)):
-                hashes, shingles = _shingles(Texts(offsets, data, lower=True), rule.words, sets)
-                got = _fingerprints(hashes, shingles, rule.width)
-                bits = pa.array([row.tobytes() for row in got], pa.binary())
-                same = _set_hashes(hashes, shingles) if sets else got[:, 0]
-                columns = [batch.column(0).slice(first, end - first), pa.array(signed(got[:, 0])), bits, pa.array(shingles), pa.array(signed(same))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "wide", "shingles", "same"])
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(
-        run, f"doc_id {kind}, fp long, wide binary, shingles long, same long"
-    )
-
-
-def shingle_sets(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, same, set``: the hashes of every row's distinct shingles, and that of the set."""
+def fingerprints(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, fp`` of every row: 64 bits as a signed number. A text without words (or null) has zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, offsets, data in pieces(batch.column(1)):
-                hashes, shingles = _shingles(Texts(offsets, data, lower=True), words, True)
-                starts = np.concatenate([[0], np.cumsum(shingles)]).astype(np.int32)
-                sets = pa.ListArray.from_arrays(pa.array(starts), pa.array(signed(hashes)))
-                columns = [batch.column(0).slice(first, end - first), pa.array(signed(_set_hashes(hashes, shingles))), sets]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "same", "set"])
+                got = _fingerprints(*_shingles(Texts(offsets, data, lower=True), words))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(signed(got))], ["doc_id", "fp"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"doc_id {kind}, same long, set array<long>")
+    return docs.select(F.col(doc_id), F.col(text).cast("string")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 @dataclass(frozen=True)
 class Rule:
     """What links two texts: shingles of ``words`` words whose fingerprints differ in at most ``radius``
-    of 64 bits, found through ``blocks`` trees. With a ``similarity`` it is the Jaccard similarity of their sets of
-    shingles that links them. It is worked out for pairs met in a tree whose numbers of shingles allow it,
-    that differ in at most ``reach`` (or else ``radius``) of 64 bits, and in at most as many of all ``64 * width`` bits as the
-    similarity gives on average, plus ``slack`` standard deviations."""
+    of 64 bits, found through ``blocks`` trees."""
 
     words: int = 5
     radius: int = 4
     blocks: int = 3
-    width: int = 1
-    similarity: float | None = None
-    slack: float = 1.0
-    reach: int | None = None
-
-    @property
-    def wide_radius(self) -> float:
-        share = math.acos(2 * self.similarity / (1 + self.similarity)) / math.pi
-        return 64 * self.width * share + self.slack * math.sqrt(64 * self.width * share * (1 - share))
 
 
 # --- trees ---------------------------------------------------------------------------------------
@@ -231,9 +168,9 @@ def route(nodes: list[tuple], values: np.ndarray, mask: int, radius: int) -> Ite
         stack.append((far, rows[to_far], home[to_far] & ~inside[to_far]))
 
 
-def shard_links(bits: np.ndarray, home: np.ndarray, mask: int, rule: Rule) -> np.ndarray:
+def shard_links(values: np.ndarray, home: np.ndarray, mask: int, rule: Rule) -> np.ndarray:
     """For every row of a shard the first row it is linked to, directly or through others."""
-    values, inner = bits[:, 0], rule.radius // rule.blocks
+    inner = rule.radius // rule.blocks
     nodes = build_tree(np.unique(values), mask, inner, LEAF_ROWS)
     root = np.arange(len(values))
     for _, asking, at_home in route(nodes, values, mask, inner):
@@ -246,49 +183,6 @@ def shard_links(bits: np.ndarray, home: np.ndarray, mask: int, rule: Rule) -> np
     return root
 
 
-def shard_pairs(
-    bits: np.ndarray, shingles: np.ndarray, group: np.ndarray, home: np.ndarray, mask: int, rule: Rule, nearest: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of rows of a shard that may be as similar as the rule says and are not of one group, and rows at the ends
-    of further ones: a pair is given unless both its rows have ``nearest`` nearer ones."""
-    values, inner = bits[:, 0], rule.radius // rule.blocks
-    reach = rule.radius if rule.reach is None else rule.reach
-    nodes, n = build_tree(np.unique(values), mask, inner, LEAF_ROWS), len(values)
-    more = np.zeros(n, dtype=bool)
-    kept, waiting = np.zeros(0, dtype=np.int64), []
-
-    def pruned() -> np.ndarray:
-        pairs = np.unique(np.concatenate([kept, *waiting]))
-        i, j = np.divmod(pairs, n)
-        far = np.concatenate([np.bitwise_count(bits[i[at : at + PAIRS_AT_ONCE]] ^ bits[j[at : at + PAIRS_AT_ONCE]]).sum(axis=1) for at in range(0, len(i), PAIRS_AT_ONCE)] or [i])
-        one, other = np.concatenate([i, j]), np.concatenate([j, i])
-        order = np.lexsort((other, np.concatenate([far, far]), one))
-        place = np.arange(len(order)) - np.searchsorted(one[order], one[order])
-        near = np.zeros(len(order), dtype=bool)
-        near[order] = place < nearest
-        near = near[: len(i)] | near[len(i) :]
-        more[i[~near]] = more[j[~near]] = True
-        return pairs[near]
-
-    for _, asking, at_home in route(nodes, values, mask, inner):
-        held = asking[home[asking] & at_home]
-        step = max(1, PAIRS_AT_ONCE // max(len(asking), 1))
-        for at in range(0, len(held), step):
-            part = held[at : at + step]
-            i, j = np.nonzero(np.bitwise_count(values[part, None] ^ values[None, asking]) <= reach)
-            i, j = part[i], asking[j]
-            keep = (i != j) & (group[i] != group[j])
-            keep &= np.minimum(shingles[i], shingles[j]) >= rule.similarity * np.maximum(shingles[i], shingles[j])
-            i, j = i[keep], j[keep]
-            keep = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= rule.wide_radius
-            i, j = i[keep], j[keep]
-            waiting.append(np.minimum(i, j) * n + np.maximum(i, j))
-            if sum(map(len, waiting)) > max(2 * PAIRS_AT_ONCE, len(kept)):
-                kept, waiting = pruned(), []
-    kept = pruned()
-    return *np.divmod(kept, n), np.flatnonzero(more)
-
-
 def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Give both ends of every link the smallest root of the two, until nothing changes."""
     while len(a):
@@ -305,15 +199,11 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = up
 
 
-def fingerprint_links(distinct: DataFrame, rule: Rule, sample_rows: int = SAMPLE_ROWS, nearest: int = NEAREST) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, rule: Rule, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``a, b``: links between first documents that connect all fingerprints the rule links (a spanning set of them).
 
-    ``distinct`` has one row per fingerprint (``first_doc, fp, wide, shingles``) and should be stored: it is
-    read twice. The upper trees come from at most ``sample_rows`` of them, whatever the size of the table.
-    With a similarity, fingerprints are also dealt by their number of shingles: similar texts lie in the
-    same size class or in neighbours, and the smaller searches the class above. Then rows are told by a
-    number ``same`` and have the ``root`` of their component, and ``a, b`` are pairs of different roots still to be
-    judged, all but those both of whose ends have ``nearest`` nearer ones; these ends come as ``a`` with ``b`` null.
+    ``distinct`` has one row per fingerprint (``first_doc, fp``) and should be stored: it is read twice. The upper
+    trees come from at most ``sample_rows`` of them, whatever the size of the table.
     """
     total = distinct.count()
     share = min(1.0, sample_rows / max(total, 1))
@@ -322,106 +212,56 @@ def fingerprint_links(distinct: DataFrame, rule: Rule, sample_rows: int = SAMPLE
     inner, masks = rule.radius // rule.blocks, masks_of(rule.blocks)
     leaf = max(64, int(SHARD_ROWS * len(sample) / max(total, 1)))
     trees = [build_tree(sample, mask, inner, leaf) for mask in masks]
-    sets = rule.similarity is not None
-    distinct = distinct.select("same" if sets else "first_doc", "fp", "wide", "shingles", F.col("root") if sets else F.lit(True).alias("root"))
-    kind, root_kind = (distinct.schema.fields[i].dataType.simpleString() for i in (0, 4))
-    names = ["size", "block", "shard", "home", "doc", "wide", "shingles", "root"]
+    kind = distinct.schema["first_doc"].dataType.simpleString()
+    names = ["block", "shard", "home", "doc", "fp"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, wide = batch.column(0), batch.column(2)
             values = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            shingles = batch.column(3).to_numpy(zero_copy_only=False)
-            size = np.zeros(len(values), dtype=np.int64)
-            if rule.similarity is not None:
-                size = np.floor(np.log(np.maximum(shingles, 1)) / -np.log(rule.similarity)).astype(np.int64)
             for block, (nodes, mask) in enumerate(zip(trees, masks)):
                 for shard, rows, home in route(nodes, values, mask, inner):
-                    for up in (0, 1) if rule.similarity is not None else (0,):
-                        n, at = len(rows), pa.array(rows)
-                        own = [size[rows] + up, np.full(n, block, np.int32), np.full(n, shard, np.int32), home & (up == 0)]
-                        columns = [*map(pa.array, own), ids.take(at), wide.take(at), pa.array(shingles[rows]), batch.column(4).take(at)]
-                        yield pa.RecordBatch.from_arrays(columns, names)
+                    n, at = len(rows), pa.array(rows)
+                    own = [np.full(n, block, np.int32), np.full(n, shard, np.int32), home]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, own), batch.column(0).take(at), batch.column(1).take(at)], names)
 
     def link(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("doc", kind="stable")
-        bits = np.frombuffer(b"".join(part["wide"]), dtype=np.uint64).reshape(len(part), -1)
-        ids, home = part["doc"].to_numpy(), part["home"].to_numpy(bool)
-        if rule.similarity is not None:
-            group = pd.factorize(part["root"])[0]
-            i, j, more = shard_pairs(bits, part["shingles"].to_numpy(np.int64), group, home, masks[key[1]], rule, nearest)
-            b = pd.concat([pd.Series(ids[j], dtype="Int64"), pd.Series([None] * len(more), dtype="Int64")])
-            return pd.DataFrame({"a": np.concatenate([ids[i], ids[more]]), "b": b.to_numpy(object, na_value=None)})
-        root = shard_links(bits, home, masks[key[1]], rule)
+        ids, values = part["doc"].to_numpy(), part["fp"].to_numpy(np.int64).view(np.uint64)
+        root = shard_links(values, part["home"].to_numpy(bool), masks[key[0]], rule)
         moved = np.flatnonzero(ids[root] != ids)
         return pd.DataFrame({"a": ids[moved], "b": ids[root[moved]]})
 
-    dealt = distinct.mapInArrow(
-        deal, f"size long, block int, shard int, home boolean, doc {kind}, wide binary, shingles long, root {root_kind}"
-    )
-    return dealt.groupBy("size", "block", "shard").applyInPandas(link, f"a {kind}, b {kind}")
-
-
-def similar_links(known: DataFrame, distinct: DataFrame, rule: Rule, doc_id: str, text: str) -> DataFrame:
-    """``a, b``: links between first documents that connect all texts whose sets of shingles are as similar as the
-    rule says, as far as the trees bring them together.
-
-    A round judges the nearest candidates of every text. Only texts that have further ones outside their
-    component take part in the next, so a large group of near copies costs a bounded number of pairs per text as soon
-    as it hangs together.
-    """
-    texts = known.select(F.col(doc_id).alias("first_doc"), F.col(text).cast("string").alias("text"))
-    left, links, nearest = distinct.withColumn("root", F.col("first_doc")), None, NEAREST
-    while True:
-        found = fingerprint_links(left, rule, nearest=nearest).checkpoint()
-        pairs = found.filter("b is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().checkpoint()
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct()
-        asked = asked.join(distinct.select("same", "first_doc"), "same").checkpoint()
-        # an id may be repeated with other texts, so the hash of the set has to agree as well
-        sets = shingle_sets(texts.join(asked.select("first_doc").distinct(), "first_doc", "left_semi"), rule.words, "first_doc")
-        sets = sets.withColumnRenamed("doc_id", "first_doc").join(asked, ["same", "first_doc"], "left_semi").dropDuplicates(["same"]).checkpoint()
-        both = pairs.join(sets.select(F.col("same").alias("a"), F.col("first_doc").alias("doc_a"), F.col("set").alias("set_a")), "a")
-        both = both.join(sets.select(F.col("same").alias("b"), F.col("first_doc").alias("doc_b"), F.col("set").alias("set_b")), "b")
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        alike = common / (F.size("set_a") + F.size("set_b") - common) >= rule.similarity
-        new = both.filter(alike).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
-        links = (new if links is None else links.unionByName(new)).checkpoint()
-        more = found.filter("b is null").select(F.col("a").alias("same")).distinct()
-        left = distinct.join(more, "same", "left_semi")
-        if left.isEmpty():
-            return links
-        roots = components(links).select(F.col("node").alias("first_doc"), "root")
-        left = left.join(roots, "first_doc", "left").withColumn("root", F.coalesce("root", "first_doc")).checkpoint()
-        nearest *= 4
+    dealt = distinct.select("first_doc", "fp").mapInArrow(deal, f"block int, shard int, home boolean, doc {kind}, fp long")
+    return dealt.groupBy("block", "shard").applyInPandas(link, f"a {kind}, b {kind}")
 
 
 def near_copies(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fp, component_id``: every document, its fingerprint and the smallest document it is linked to.
 
-    Equal fingerprints (with a similarity: equal sets of shingles) meet in one row before anything is compared, so
-    copies cost nothing. Texts that are null or without words have fingerprint zero and link like any other; rows without a document id
-    take no part; rows that repeat one are linked as their texts are. Columns of other names are not read.
+    Equal fingerprints meet in one row before anything is compared, so copies cost nothing. Texts that are null or without
+    words have fingerprint zero and link like any other; rows without a document id take no part; rows that repeat one are
+    linked as their texts are. Columns of other names are not read, so they do not clash. An empty table gives an empty one.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     known = docs.filter(F.col(doc_id).isNotNull())
-    of_doc = fingerprints(known, rule, doc_id, text).checkpoint()
-    same = ["fp", "wide"] if rule.similarity is None else ["same"]
-    rest = [F.max(c).alias(c) for c in ("fp", "wide", "shingles") if c not in same]
-    distinct = of_doc.groupBy(*same).agg(F.min("doc_id").alias("first_doc"), *rest).checkpoint()
-    links = fingerprint_links(distinct, rule) if rule.similarity is None else similar_links(known, distinct, rule, doc_id, text)
-    linked = components(links).select(F.col("node").alias("first_doc"), "root")
-    classes = distinct.join(linked, "first_doc", "left").select(*same, F.coalesce("root", "first_doc").alias("component_id"))
-    return of_doc.join(classes, same).select("doc_id", "fp", "component_id")
+    of_doc = fingerprints(known, rule.words, doc_id, text).checkpoint()
+    distinct = of_doc.groupBy("fp").agg(F.min("doc_id").alias("first_doc")).checkpoint()
+    linked = components(fingerprint_links(distinct, rule)).select(F.col("node").alias("first_doc"), "root")
+    classes = distinct.join(linked, "first_doc", "left").select("fp", F.coalesce("root", "first_doc").alias("component_id"))
+    return of_doc.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, rule: Rule, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` less all but the smallest document of each component.
 
-    Rows without a document id stay. Of rows that repeat the id and all other columns one stays.
+    Rows without a document id stay. Of rows that repeat both id and text one stays. Rows are carried whole, so their columns may
+    have any type and name. An empty table gives an empty one.
     """
-    found = near_copies(docs, rule, doc_id, text).filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(found, docs[doc_id] == F.col("_copy"), "left_anti")
-    return kept.filter(F.col(doc_id).isNotNull()).distinct().unionByName(kept.filter(F.col(doc_id).isNull()))
+    gone = near_copies(docs, rule, doc_id, text).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("sig"))
+    kept = rows.filter("id is not null").join(gone, F.col("id") == F.col("gone"), "left_anti").dropDuplicates(["id", "sig"])
+    return kept.unionByName(rows.filter("id is null")).select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:

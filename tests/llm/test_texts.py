@@ -82,45 +82,19 @@ def test_fingerprints(spark, size, radius, blocks):
 
 
 def test_one_of_each(spark):
-    base = [f"t{k}" for k in range(200)]
+    base = [f"t{k}" for k in range(2000)]
     near = base[:100] + ["new"] + base[101:]
-    rows = [(3, " ".join(base)), (1, " ".join(near)), (2, "other words here"), (4, " ".join(base)), (4, " ".join(base)), (None, "x"), (5, None), (6, "")]
-    rule = simhash.Rule(5, 15, 8, 8, 0.8, 1.5)
-    kept = simhash.one_of_each(frame(spark, rows), rule)
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 5]
-    assert kept.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert simhash.one_of_each(frame(spark, []), rule).count() == 0
-
-
-@pytest.mark.parametrize("nearest", [1, 8])
-def test_near_copies_have_the_similarity(spark, monkeypatch, nearest):
-    monkeypatch.setattr(simhash, "NEAREST", nearest)
-    rng = random.Random(9)
-    rows = []
-    for b in range(30):
-        base = [f"{b}t{k}" for k in range(rng.randrange(60, 300))]
-        rows.append((len(rows), " ".join(base)))
-        for _ in range(6):  # replaced words take five shingles each: Jaccard on both sides of 0.8
-            near = list(base)
-            for p in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.005, 0.05)))):
-                near[p] = f"n{len(rows)}x{p}"
-            rows.append((len(rows), " ".join(near)))
-    rows += [(1000, "a b c d e f g " * 30), (1001, "a b c d e f g " * 40 + "other words at the end"), (3, "x y z " * 20), (3, rows[10][1])]
-
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-
-    sets, root = [shingles(t) for _, t in rows], {i: i for i, _ in rows}
-    similar = [len(x & y) / len(x | y) for k, x in enumerate(sets) for y in sets[:k]]
-    for k, x in enumerate(sets):
-        for l, y in enumerate(sets[:k]):
-            if len(x & y) / len(x | y) >= 0.8:
-                old, new = sorted((root[rows[k][0]], root[rows[l][0]]), reverse=True)
-                root = {i: new if r == old else r for i, r in root.items()}
-    assert sum(0.65 < s < 0.8 for s in similar) > 20 and sum(0.8 <= s < 0.85 for s in similar) > 5
-    got = simhash.near_copies(frame(spark, rows), corpus_pipeline.NEAR_COPIES).collect()
-    assert {(r.doc_id, r.component_id) for r in got} == set(root.items())
+    rows = [(3, " ".join(base)), (1, " ".join(near)), (2, "other words here"), (4, " ".join(base)), (4, " ".join(base)), (None, "x"), (None, "x"), (5, None), (6, "")]
+    rows += [(7, "some words"), (7, "some words"), (7, "quite another row of words")]
+    table = frame(spark, rows).withColumns({"gone": F.lit("g"), "row": F.create_map(F.lit("k"), F.lit(1)), "id": F.lit(8), "fp": F.lit(9)})
+    kept = simhash.one_of_each(table, corpus_pipeline.NEAR_COPIES)
+    assert kept.schema == table.schema
+    wanted = brute.linked([r for r in rows[:5]] + [(2, rows[2][1]), (5, None), (6, "")], 4, 4)
+    assert wanted[3][1] == wanted[4][1] == 1 and wanted[6][1] == 5
+    texts = {(r.doc_id or 0, r.text or "") for r in kept.collect()}
+    assert texts == {(0, "x"), (1, " ".join(near)), (2, "other words here"), (5, ""), (7, "quite another row of words"), (7, "some words")}
+    assert kept.count() == 7
+    assert simhash.one_of_each(table.limit(0), corpus_pipeline.NEAR_COPIES).count() == 0
 
 
 def test_trees_send_neighbours_to_one_shard():
