@@ -4,7 +4,7 @@ Of the ``min_words - anchor_words + 1`` anchors (hashes of ``anchor_words`` cons
 window of ``min_words`` words the smallest, the leftmost of equals, is the window's seed, so equal
 windows have equal seeds at the same place. One row is kept per seed: the stretch of windows that it
 stands for and the hash of the whole stretch. Seeds that occur once are dropped by a count that
-combines before the shuffle; the others are compared as whole stretches, each with the first of its
+combines before the shuffle (and most of them before any, by a bitmap of fixed size of those that repeat); the others are compared as whole stretches, each with the first of its
 kind; only firsts of kinds that share a seed are looked at window by window, from their texts.
 No two occurrences are ever paired: each is compared with the earliest alone.
 """
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyframe.llm.words import WORD_BASE, Sums, Texts, pieces, signed
 from tallyframe.session import new_folder
 
-MIN_WORDS, ANCHOR_WORDS = 20, 4
+MIN_WORDS, ANCHOR_WORDS = 20, 8
+BITMAP_BITS = 1 << 26  # 8 MB in every task, whatever the size of the table
 KIND = ["h", "shape", "context"]
 
 
@@ -49,10 +50,11 @@ def _seeds(texts: Texts, min_words: int, anchor_words: int) -> tuple[np.ndarray,
     return rows, lo - texts.firsts[rows], place - lo, hi - lo, anchors[place], sums.of(lo, hi + min_words)
 
 
-def seeds(docs: DataFrame, min_words: int, anchor_words: int) -> DataFrame:
+def seeds(docs: DataFrame, min_words: int, anchor_words: int, bitmap: np.ndarray | None = None) -> DataFrame:
     """``doc, lo, shape, h, context`` per seed of every text of ``docs`` (columns ``doc, text``).
 
-    ``shape`` is the place of the seed in the stretch's first window times 256, plus the further windows.
+    ``shape`` is the place of the seed in the stretch's first window times 256, plus the further windows. With a ``bitmap``
+    only seeds whose bit is set.
     """
     names = ["doc", "lo", "shape", "h", "context"]
 
@@ -60,7 +62,12 @@ def seeds(docs: DataFrame, min_words: int, anchor_words: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0)
             for first, _, offsets, data in pieces(batch.column(1)):
-                rows, lo, left, span, h, context = _seeds(Texts(offsets, data), min_words, anchor_words)
+                found = _seeds(Texts(offsets, data), min_words, anchor_words)
+                if bitmap is not None:
+                    bit = found[4] % np.uint64(BITMAP_BITS)
+                    here = bitmap[bit // np.uint64(64)] >> bit % np.uint64(64) & np.uint64(1) == 1
+                    found = tuple(x[here] for x in found)
+                rows, lo, left, span, h, context = found
                 arrays = [lo.astype(np.int32), (left * 256 + span).astype(np.int32), signed(h), signed(context)]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows + first)), *map(pa.array, arrays)], names)
 
@@ -68,6 +75,16 @@ def seeds(docs: DataFrame, min_words: int, anchor_words: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc {kind}, lo int, shape int, h long, context long")
 
 
+def bitmap_of(hashes: DataFrame) -> np.ndarray:
+    """One bit per value of ``h`` modulo ``BITMAP_BITS``: combined in Spark to one row per 64 bits that are not all zero."""
+    bit = F.pmod("h", F.lit(BITMAP_BITS))
+    word = F.expr("shiftleft(1L, cast(bit % 64 AS INT))")
+    words = hashes.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("at")).agg(F.bit_or(word).alias("bits")).toArrow()
+    out = np.zeros(BITMAP_BITS // 64, dtype=np.uint64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def _list(column: pa.Array) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Row of every element, and the fields of all elements, of a list of structs."""
     if isinstance(column, pa.ChunkedArray):
@@ -167,8 +184,9 @@ def drop_repeated_passages(
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("text"))
     # both joins with the texts below read this one frame, so Spark shuffles the texts once
     known = named.filter(F.col("doc").isNotNull())
-    found = seeds(known, min_words, anchor_words)
-    often = _stored(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "seed-hashes")
+    often = seeds(known, min_words, anchor_words).groupBy("h").agg(F.count("*").alias("n"))
+    often = _stored(often.filter("n > 1").select("h"), "seed-hashes")
+    found = seeds(known, min_words, anchor_words, bitmap_of(often))
     found = _stored(found.join(often, "h", "left_semi"), "seeds")
 
     kinds = found.groupBy(*KIND).agg(F.min(F.struct("doc", "lo")).alias("first"))
