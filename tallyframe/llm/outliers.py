@@ -3,7 +3,7 @@
 For every language and source the mean and covariance of five transformed statistics come from the
 minimum covariance determinant: of the rows, those three quarters are sought whose covariance has the smallest
 determinant. From several starts, concentration steps take the mean and covariance of the rows nearest to the
-last estimate until the determinant no longer falls; the best start goes on, and all rows within the 97.5 %
+last estimate until no determinant falls by a thousandth; the best start goes on, and all rows within the 97.5 %
 ellipse of its (rescaled) estimate give the final one. A document is rejected by its Mahalanobis distance.
 
 DataFrame functions only. A step is two aggregates combined before the shuffle: how many rows lie at which distance (in
@@ -32,7 +32,8 @@ LEAST_ROWS = 40  # smaller groups of a language are judged together, and if stil
 TAIL = 1e-4  # of normal rows that the limit would reject
 STARTS, START_ROWS = 4, 15
 BINS = 32
-STEPS = 30
+STEPS = 12
+TOLERANCE = 1e-3  # steps end when no logarithm of a determinant falls by more
 GRAIN = 1024  # statistics are multiples of 1/1024, so that their sums do not depend on the order of rows
 
 
@@ -202,7 +203,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     found = found.join(best, "g").filter(F.col("start") == F.col("best.start")).drop("best")
     for _ in range(STEPS):
         new = _stored(concentrated(narrow, found))
-        fell = new.join(found.select("g", F.col("det").alias("old")), "g").filter(F.col("det") < F.col("old") - 1e-9)
+        fell = new.join(found.select("g", F.col("det").alias("old")), "g").filter(F.col("det") < F.col("old") - TOLERANCE)
         found = new
         if fell.isEmpty():
             break

@@ -79,19 +79,23 @@ def nearest(v, found):
     return plain_estimate(v[bins <= limit], 1.0)
 
 
-def plain_robust(v, starts):
-    found = [plain_estimate(v[s], 1.0) for s in starts]
-    for _ in range(2):
-        found = [nearest(v, f) for f in found]
-    best = min(found, key=lambda f: np.linalg.slogdet(f[1])[1])
-    while True:
-        new = nearest(v, best)
-        done = np.linalg.slogdet(new[1])[1] >= np.linalg.slogdet(best[1])[1] - 1e-9
-        best = new
-        if done:
+def plain_robust(groups):
+    """Final estimates of all groups, given as (vectors, starts): steps go on until no group's determinant falls."""
+    det = lambda f: np.linalg.slogdet(f[1])[1]
+    last = []
+    for v, starts in groups:
+        found = [plain_estimate(v[s], 1.0) for s in starts]
+        for _ in range(2):
+            found = [nearest(v, f) for f in found]
+        last.append(min(found, key=det))
+    for _ in range(outliers.STEPS):
+        new = [nearest(v, f) for (v, _), f in zip(groups, last)]
+        falls = any(det(a) < det(b) - outliers.TOLERANCE for a, b in zip(new, last))
+        last = new
+        if not falls:
             break
     limit = outliers.widening(0.75, 5) * outliers.chi_square_limit(0.975, 5)
-    return plain_estimate(v[plain_distance(v, best) <= limit], outliers.widening(0.975, 5))
+    return [plain_estimate(v[plain_distance(v, f) <= limit], outliers.widening(0.975, 5)) for (v, _), f in zip(groups, last)]
 
 
 def test_distances(spark):
@@ -108,12 +112,14 @@ def test_distances(spark):
     assert len(big) >= 3
     # the hash that draws the other starts
     hashed = {r.doc_id: r.h for r in spark.createDataFrame([(i,) for i in passed], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id) AS h").collect()}
-    rejected = 0
+    rejected, parts = 0, []
     for ids in big.values():
         v = np.array([passed[i] for i in ids])
         draw = np.array([hashed[i] % max(4, len(ids) // 15) for i in ids])
         starts = [np.arange(len(ids))] + [np.flatnonzero(draw == k) for k in range(4) if (draw == k).any()]
-        d2 = plain_distance(v, plain_robust(v, starts))
+        parts.append((v, starts))
+    for ids, (v, _), found in zip(big.values(), parts, plain_robust(parts)):
+        d2 = plain_distance(v, found)
         assert [got[i].d2 for i in ids] == pytest.approx(d2.tolist(), rel=1e-6, abs=1e-9)
         assert [got[i].kept for i in ids] == (d2 <= outliers.chi_square_limit(0.9999, 5)).tolist()
         rejected += int((d2 > outliers.chi_square_limit(0.9999, 5)).sum())
