@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.catalog.log import DAY
-from tallyframe.catalog.registry import over, query, r, tidy
+from tallyframe.catalog.registry import ORACLES, over, query, r, tidy
 from tallyframe.functions.payload import bound_label
-from tallyframe.operators import alerts, series
+from tallyframe.operators import alerts, rollup, series
 from tallyframe.functions.numeric import ms_to_seconds
+from tallyframe.session import new_folder
 from tallyframe.sources import views
 
 
@@ -309,7 +311,7 @@ def _(spark, folder):
 def _(spark, folder):
     """A run comes every seven minutes: a window of five has gaps."""
     runs = views.runs(spark, folder)
-    return tidy(alerts.no_runs(runs, 300, 60, 60, _late(runs)))
+    return tidy(alerts.no_runs(runs, 300, 60, 60, as_of=_late(runs)))
 
 
 @query("alert_hold", _alert_sql("half_hour", "info", "CAST(count(spread.tick) AS DOUBLE)", "v > 6", hold=900, window=1800))
@@ -317,3 +319,56 @@ def _(spark, folder):
     log = _log(spark, folder)
     counted = alerts.windowed_counts(log, 1800, STEP, {"value": F.lit(1)}, _late(log))
     return tidy(alerts.judged(counted, "half_hour", "info", F.col("value") > 6, 900, STEP))
+
+
+# --- rules over the last hours, from the log's days and from a rollup ------------------------------
+
+RECENT_HOURS = 30
+_RECENT = ("high_error_rate", "slow_processing", "low_volume", "high_volume", "no_predictions", "log_growth")
+
+
+def _recent_rules():
+    return [
+        alerts.error_rate_rule(25.0, W, HOLD, STEP),
+        alerts.slow_rule(0.0975, window=W, hold_for=HOLD, step=STEP),
+        alerts.low_volume_rule(0.2, W, HOLD, STEP),
+        alerts.high_volume_rule(0.25, W, 300, STEP),
+        alerts.no_predictions_rule(600, 600, STEP),
+        alerts.log_growth_rule(F.length("input_data"), 150.0, W, 600, STEP),
+    ]
+
+
+def _recent_sql() -> str:
+    start = f"(SELECT max(ts) FROM events) + INTERVAL {int(SILENT.total_seconds())} SECOND - INTERVAL {RECENT_HOURS} HOUR"
+    parts = [f"SELECT * FROM ({ORACLES['alert_' + name]}) WHERE epoch_us(tick_ts) // {STEP * 1000000} > epoch_us({start}) // {STEP * 1000000}" for name in _RECENT]
+    return "\nUNION ALL ".join(parts)
+
+
+def _by_day(spark, folder):
+    """The log as its table keeps it: one partition a day."""
+    path = new_folder(spark, "log")
+    _log(spark, folder).withColumn("dt", F.to_date("ts")).repartition("dt").write.partitionBy("dt").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("alerts_recent", _recent_sql())
+def _(spark, folder):
+    """All rules over the last thirty hours, each from the days its windows reach back to."""
+    log = _by_day(spark, folder)
+    as_of = _late(log)
+    start = as_of - dt.timedelta(hours=RECENT_HOURS)
+    parts = [alerts.over_log(rule, log, as_of, start, "dt") for rule in _recent_rules()]
+    return tidy(reduce(DataFrame.unionByName, parts))
+
+
+@query("alerts_rollup", _recent_sql())
+def _(spark, folder):
+    """The same from step sums that were kept day by day; the last two days are summed twice, as a log that grows is."""
+    log, rules = _by_day(spark, folder), _recent_rules()
+    as_of, path = _late(log), new_folder(spark, "rollup")
+    rollup.refresh(log, path, rules, "dt")
+    newest_day = (as_of - SILENT).date()
+    rollup.refresh(log, path, rules, "dt", [newest_day - dt.timedelta(days=1), newest_day])
+    start = as_of - dt.timedelta(hours=RECENT_HOURS)
+    parts = [rollup.judge(spark, path, rule, start, as_of) for rule in rules]
+    return tidy(reduce(DataFrame.unionByName, parts))

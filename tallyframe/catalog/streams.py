@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.catalog.models import _one_input, validated_sql
-from tallyframe.catalog.registry import over, query, r, tidy
-from tallyframe.catalog.series import AT, TIME
+from tallyframe.catalog.registry import ORACLES, over, query, r, tidy
+from tallyframe.catalog.series import AT, HOLD, STEP, TIME, W, _late
 from tallyframe.operators import series
 from tallyframe.plans import scoring
 from tallyframe.session import new_folder
 from tallyframe.sources import tables, views
-from tallyframe.streaming import jobs
+from tallyframe.streaming import jobs, rules
 
 
 def _stream(spark, folder):
@@ -81,6 +81,43 @@ def _(spark, folder):
     return tidy(spark.read.parquet(found).drop("batch_id"))
 
 
+def _judged(spark, log, stored, rule, step: int = STEP):
+    """Ticks of a rule up to two hours after the last row, which the clock tells."""
+    clock = new_folder(spark, "clock")
+    late = F.lit(_late(stored)).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    spark.range(1).select(late.alias("ts")).write.parquet(clock)
+    out = rules.alert_stream(log, [rule], step, jobs.table_stream(spark, clock), "1 day")
+    return tidy(_appended(spark, out, "judged"))
+
+
+def _rule_query(rule: str, make):
+    """The same ticks as the rule gives over the stored log."""
+
+    @query(f"stream_alert_{rule}", ORACLES[f"alert_{rule}"])
+    def run(spark, folder):
+        return _judged(spark, _stream(spark, folder), views.requests(spark, folder), make())
+
+    return run
+
+
+_rule_query("high_error_rate", lambda: rules.error_rate_rule(25.0, W, HOLD))
+_rule_query("slow_processing", lambda: rules.slow_rule(0.0975, window=W, hold=HOLD))
+_rule_query("slow_prediction", lambda: rules.slow_rule(0.095, window=W, hold=600, name="slow_prediction"))
+_rule_query("low_volume", lambda: rules.low_volume_rule(0.2, W, HOLD))
+_rule_query("high_volume", lambda: rules.high_volume_rule(0.25, W, 300))
+_rule_query("no_predictions", lambda: rules.silence_rule(600, 600))
+_rule_query("log_growth", lambda: rules.growth_rule(F.length("input_data"), 150.0, W, 600))
+
+
+@query("stream_alert_no_runs", ORACLES["alert_no_runs"])
+def _(spark, folder):
+    """Runs as they are appended to their table."""
+    stored = views.runs(spark, folder)
+    path = new_folder(spark, "runs")
+    stored.select("run_id", "ts").write.parquet(path)
+    return _judged(spark, jobs.table_stream(spark, path), stored, rules.no_runs_rule(300, 60), 60)
+
+
 @query("stream_dedupe", over("requests", "SELECT id, ts, endpoint FROM requests"))
 def _(spark, folder):
     """The log with every row sent twice: each comes out once."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +59,11 @@ def micros(ts: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), ts)
 
 
+def second_of(value: dt.datetime) -> int:
+    """Epoch seconds of a zone-less moment, rounded down."""
+    return calendar.timegm(value.timetuple())
+
+
 def at_second(seconds: Column) -> Column:
     """Zone-less timestamp from epoch seconds."""
     return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH))

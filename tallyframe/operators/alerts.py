@@ -4,19 +4,24 @@ Every rule yields one row per evaluation tick: ``(rule, severity, tick_ts, value
 firing)``. Ticks go on to ``as_of``, so a log that has stopped is judged too. ``active`` is the condition at the tick, ``firing`` that it held for the whole
 hold time. Data is reduced to one row per tick first, so windows only see ticks, and only a
 bounded stretch of them.
+
+A rule is a value (``Rule``); the functions named after rules judge a stored log with one. With ``start`` only the ticks
+after it are judged, from the rows (and, with ``day``, the day partitions) that windows and hold times of these
+ticks reach back to. ``operators/rollup.py`` judges a rule from kept step sums in the same way.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import ms_to_seconds
-from tallyframe.functions.timing import at_second
-from tallyframe.operators.series import TIME_BOUNDS, cells, on_spine, sliding, tick_spine
+from tallyframe.functions.timing import at_second, second_of
+from tallyframe.operators.series import TIME_BOUNDS, cells, on_spine, sliding, spine_between, tick_ends, tick_spine
 
 # Ticks per window partition when the hold time is checked.
 STRETCH = 10_000
@@ -72,21 +77,6 @@ def windowed_counts(
     return on_spine(slid, tick_spine(rows, step_seconds, as_of=as_of), list(sums))
 
 
-def high_error_rate(
-    log: DataFrame,
-    percent: float = 5.0,
-    window: int = 300,
-    hold_for: int = 120,
-    step: int = 60,
-    severity: str = "warning",
-    as_of: dt.datetime | None = None,
-) -> DataFrame:
-    sums = {"requests": F.lit(1), "errors": (F.col("status_code") >= 400).cast("int")}
-    counted = windowed_counts(log, window, step, sums, as_of)
-    values = counted.select("tick", F.try_divide(F.col("errors") * 100.0, F.col("requests")).alias("value"))
-    return judged(values, "high_error_rate", severity, F.col("value") > percent, hold_for, step)
-
-
 def bucket_quantile(q: float, bounds: Sequence[float], count: str = "n", bucket: str = "b") -> Column:
     """Quantile interpolated inside the first bucket that reaches rank ``q * count``, from columns that hold
     the cumulative counts ``b0, b1, ...``; NULL where nothing was counted."""
@@ -101,8 +91,77 @@ def bucket_quantile(q: float, bounds: Sequence[float], count: str = "n", bucket:
     return out.when(F.col(count) > 0, F.lit(float(bounds[-1])))
 
 
-def slow_requests(
+@dataclass(frozen=True)
+class Rule:
+    """``sums`` per row; ``value`` of the sums over ``window`` seconds; the condition on the column ``value``."""
+
+    name: str
+    severity: str
+    window: int
+    hold: int
+    step: int
+    sums: Mapping[str, Column]
+    value: Column
+    active: Column
+
+
+def evaluate(rule: Rule, step_sums: DataFrame, spine: DataFrame) -> DataFrame:
+    """Alert rows of the ticks of ``spine`` from sums per step (``tick`` and the rule's columns)."""
+    names = list(rule.sums)
+    slid = on_spine(sliding(step_sums, rule.window, rule.step, names), spine, names)
+    return judged(slid.select("tick", rule.value.alias("value")), rule.name, rule.severity, rule.active, rule.hold, rule.step)
+
+
+def over_log(
+    rule: Rule,
     log: DataFrame,
+    as_of: dt.datetime | None = None,
+    start: dt.datetime | None = None,
+    day: str | None = None,
+    ts: str = "ts",
+) -> DataFrame:
+    """Alert rows of a stored log: all ticks, or those after ``start``.
+
+    ``day`` names a date column the log is partitioned by. The results are those of the whole log: ticks still begin with its first
+    row, which is looked for in its first day.
+    """
+    if start is None:
+        return evaluate(rule, cells(log, rule.step, rule.sums, ts=ts), tick_spine(log, rule.step, ts, as_of))
+    first, last = tick_ends(log, rule.step, ts, as_of, day)
+    after = second_of(start)
+    rows = log.where(F.col(ts) > start - dt.timedelta(seconds=rule.window + rule.hold + rule.step))
+    if day:
+        rows = rows.where(F.col(day) >= (start - dt.timedelta(seconds=rule.window + rule.hold + rule.step)).date())
+    return recent(rule, cells(rows, rule.step, rule.sums, ts=ts), first, last, after)
+
+
+def recent(rule: Rule, step_sums: DataFrame, first: int | None, last: int | None, after: int) -> DataFrame:
+    """Alert rows of the ticks after the second ``after`` up to ``last``; ``first`` is the first tick of the whole log."""
+    begin = after // rule.step * rule.step + rule.step
+    lead = None if first is None else max(first, begin - rule.hold)
+    found = evaluate(rule, step_sums, spine_between(step_sums.sparkSession, lead, last, rule.step))
+    return found.where(F.col("tick_ts") >= at_second(F.lit(begin)))
+
+
+def error_rate_rule(percent: float = 5.0, window: int = 300, hold_for: int = 120, step: int = 60, severity: str = "warning") -> Rule:
+    sums = {"requests": F.lit(1), "errors": (F.col("status_code") >= 400).cast("int")}
+    share = F.try_divide(F.col("errors") * 100.0, F.col("requests"))
+    return Rule("high_error_rate", severity, window, hold_for, step, sums, share, F.col("value") > percent)
+
+
+def high_error_rate(
+    log: DataFrame,
+    percent: float = 5.0,
+    window: int = 300,
+    hold_for: int = 120,
+    step: int = 60,
+    severity: str = "warning",
+    **span,
+) -> DataFrame:
+    return over_log(error_rate_rule(percent, window, hold_for, step, severity), log, **span)
+
+
+def slow_rule(
     seconds: float = 1.0,
     q: float = 0.95,
     window: int = 300,
@@ -111,62 +170,77 @@ def slow_requests(
     rule: str = "slow_processing",
     severity: str = "warning",
     bounds: Sequence[float] = TIME_BOUNDS,
-    as_of: dt.datetime | None = None,
-) -> DataFrame:
+) -> Rule:
     """Interpolated time quantile above a limit; windows without times have no value and never fire."""
     x = ms_to_seconds("processing_time_ms")
-    sums = {f"b{i}": (x <= F.lit(float(b))).cast("int") for i, b in enumerate(bounds)}
-    counted = windowed_counts(log, window, step, sums | {"n": x.isNotNull().cast("int")}, as_of)
-    values = counted.select("tick", bucket_quantile(q, bounds).alias("value"))
-    return judged(values, rule, severity, F.col("value") > seconds, hold_for, step)
+    sums = {f"b{i}": (x <= F.lit(float(b))).cast("int") for i, b in enumerate(bounds)} | {"n": x.isNotNull().cast("int")}
+    return Rule(rule, severity, window, hold_for, step, sums, bucket_quantile(q, bounds), F.col("value") > seconds)
+
+
+def slow_requests(
+    log: DataFrame,
+    seconds: float = 1.0,
+    q: float = 0.95,
+    window: int = 300,
+    hold_for: int = 120,
+    step: int = 60,
+    rule: str = "slow_processing",
+    severity: str = "warning",
+    bounds: Sequence[float] = TIME_BOUNDS,
+    **span,
+) -> DataFrame:
+    return over_log(slow_rule(seconds, q, window, hold_for, step, rule, severity, bounds), log, **span)
 
 
 def slow_prediction(log: DataFrame, seconds: float = 0.5, hold_for: int = 180, **options) -> DataFrame:
     return slow_requests(log, seconds, hold_for=hold_for, rule="slow_prediction", **options)
 
 
-def low_volume(
-    log: DataFrame, per_minute: float = 1.0, window: int = 600, hold_for: int = 300, step: int = 60, as_of: dt.datetime | None = None
-) -> DataFrame:
-    return _volume(log, "low_volume", "info", lambda v: v < per_minute, window, hold_for, step, as_of)
+def _volume_rule(name: str, severity: str, window: int, hold_for: int, step: int, active: Column) -> Rule:
+    per_minute = F.col("requests") / F.lit(float(window)) * 60
+    return Rule(name, severity, window, hold_for, step, {"requests": F.lit(1)}, per_minute, active)
 
 
-def high_volume(
-    log: DataFrame, per_minute: float = 100.0, window: int = 300, hold_for: int = 60, step: int = 60, as_of: dt.datetime | None = None
-) -> DataFrame:
-    return _volume(log, "high_volume", "warning", lambda v: v > per_minute, window, hold_for, step, as_of)
+def low_volume_rule(per_minute: float = 1.0, window: int = 600, hold_for: int = 300, step: int = 60) -> Rule:
+    return _volume_rule("low_volume", "info", window, hold_for, step, F.col("value") < per_minute)
 
 
-def _volume(log, rule, severity, condition, window, hold_for, step, as_of):
-    counted = windowed_counts(log, window, step, {"requests": F.lit(1)}, as_of)
-    values = counted.select("tick", (F.col("requests") / F.lit(float(window)) * 60).alias("value"))
-    return judged(values, rule, severity, condition(F.col("value")), hold_for, step)
+def low_volume(log: DataFrame, per_minute: float = 1.0, window: int = 600, hold_for: int = 300, step: int = 60, **span) -> DataFrame:
+    return over_log(low_volume_rule(per_minute, window, hold_for, step), log, **span)
 
 
-def no_predictions(
-    log: DataFrame, window: int = 600, hold_for: int = 600, step: int = 60, as_of: dt.datetime | None = None
-) -> DataFrame:
-    made = F.col("prediction").isNotNull().cast("int")
-    values = windowed_counts(log, window, step, {"value": made}, as_of)
-    return judged(values, "no_predictions", "info", F.col("value") == 0, hold_for, step)
+def high_volume_rule(per_minute: float = 100.0, window: int = 300, hold_for: int = 60, step: int = 60) -> Rule:
+    return _volume_rule("high_volume", "warning", window, hold_for, step, F.col("value") > per_minute)
 
 
-def log_growth(
-    log: DataFrame,
-    size: Column,
-    max_bytes: float = 1048576.0,
-    window: int = 3600,
-    hold_for: int = 600,
-    step: int = 60,
-    as_of: dt.datetime | None = None,
-) -> DataFrame:
+def high_volume(log: DataFrame, per_minute: float = 100.0, window: int = 300, hold_for: int = 60, step: int = 60, **span) -> DataFrame:
+    return over_log(high_volume_rule(per_minute, window, hold_for, step), log, **span)
+
+
+def no_predictions_rule(window: int = 600, hold_for: int = 600, step: int = 60) -> Rule:
+    made = {"predictions": F.col("prediction").isNotNull().cast("int")}
+    return Rule("no_predictions", "info", window, hold_for, step, made, F.col("predictions"), F.col("value") == 0)
+
+
+def no_predictions(log: DataFrame, window: int = 600, hold_for: int = 600, step: int = 60, **span) -> DataFrame:
+    return over_log(no_predictions_rule(window, hold_for, step), log, **span)
+
+
+def log_growth_rule(size: Column, max_bytes: float = 1048576.0, window: int = 3600, hold_for: int = 600, step: int = 60) -> Rule:
     """Bytes of rows appended in the window above a limit."""
-    values = windowed_counts(log, window, step, {"value": size.cast("long")}, as_of)
-    return judged(values, "log_growth", "info", F.col("value") > max_bytes, hold_for, step)
+    bytes_ = {"bytes": size.cast("long")}
+    return Rule("log_growth", "info", window, hold_for, step, bytes_, F.col("bytes"), F.col("value") > max_bytes)
 
 
-def no_runs(
-    runs: DataFrame, window: int = 3600, hold_for: int = 1800, step: int = 60, as_of: dt.datetime | None = None
+def log_growth(
+    log: DataFrame, size: Column, max_bytes: float = 1048576.0, window: int = 3600, hold_for: int = 600, step: int = 60, **span
 ) -> DataFrame:
-    values = windowed_counts(runs, window, step, {"value": F.lit(1)}, as_of)
-    return judged(values, "no_runs", "warning", F.col("value") < 1, hold_for, step)
+    return over_log(log_growth_rule(size, max_bytes, window, hold_for, step), log, **span)
+
+
+def no_runs_rule(window: int = 3600, hold_for: int = 1800, step: int = 60) -> Rule:
+    return Rule("no_runs", "warning", window, hold_for, step, {"runs": F.lit(1)}, F.col("runs"), F.col("value") < 1)
+
+
+def no_runs(runs: DataFrame, window: int = 3600, hold_for: int = 1800, step: int = 60, **span) -> DataFrame:
+    return over_log(no_runs_rule(window, hold_for, step), runs, **span)

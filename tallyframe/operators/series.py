@@ -6,16 +6,15 @@ cell and label, and only these small partials are spread over the windows they b
 
 from __future__ import annotations
 
-import calendar
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.numeric import ms_to_seconds
 from tallyframe.functions.payload import bound_label, error_class
-from tallyframe.functions.timing import at_second, moment, since, tick_after
+from tallyframe.functions.timing import at_second, moment, second_of, since, tick_after
 from tallyframe.operators.ordering import number_rows
 from tallyframe.operators.requestlog import AsOf, prediction_value
 
@@ -262,17 +261,32 @@ def sliding(cell_rows: DataFrame, window_seconds: int, step_seconds: int, sums:
     return spread.groupBy("tick", *labels).agg(*[F.sum(s).alias(s) for s in sums])
 
 
-def tick_spine(rows: DataFrame, step_seconds: int, ts: str = "ts", as_of: dt.datetime | None = None) -> DataFrame:
-    """Every evaluation tick from the first row to the last one, or to ``as_of``, with or without events.
-
-    The two ends are read first, so the ticks are made by many tasks. Without rows there are no ticks.
-    """
-    first, last = rows.agg(tick_after(F.min(ts), step_seconds), tick_after(F.max(ts), step_seconds)).first()
+def tick_ends(
+    rows: DataFrame, step_seconds: int, ts: str = "ts", as_of: dt.datetime | None = None, day: str | None = None
+) -> tuple[int | None, int | None]:
+    """First and last evaluation tick: of the first row, and of the last one or ``as_of``. With a ``day`` column the ends are
+    looked for in the first and the last day only."""
+    if day is None:
+        first, last = rows.agg(tick_after(F.min(ts), step_seconds), tick_after(F.max(ts), step_seconds)).first()
+    else:
+        low, high = rows.agg(F.min(day), F.max(day)).first()
+        first = rows.where(F.col(day) == F.lit(low)).agg(tick_after(F.min(ts), step_seconds)).first()[0]
+        last = rows.where(F.col(day) == F.lit(high)).agg(tick_after(F.max(ts), step_seconds)).first()[0]
     if as_of is not None:
-        last = calendar.timegm(as_of.timetuple()) // step_seconds * step_seconds
+        last = second_of(as_of) // step_seconds * step_seconds
+    return first, last
+
+
+def spine_between(spark: SparkSession, first: int | None, last: int | None, step_seconds: int) -> DataFrame:
+    """Every tick from ``first`` to ``last``, made by many tasks; none if there is no first one."""
     if first is None:
         first, last = 0, -1
-    return rows.sparkSession.range(first, max(first, last + 1), step_seconds).select(F.col("id").alias("tick"))
+    return spark.range(first, max(first, last + 1), step_seconds).select(F.col("id").alias("tick"))
+
+
+def tick_spine(rows: DataFrame, step_seconds: int, ts: str = "ts", as_of: dt.datetime | None = None) -> DataFrame:
+    """Every evaluation tick from the first row to the last one, or to ``as_of``, with or without events."""
+    return spine_between(rows.sparkSession, *tick_ends(rows, step_seconds, ts, as_of), step_seconds)
 
 
 def on_spine(windowed: DataFrame, spine: DataFrame, sums: Sequence[str]) -> DataFrame:
