@@ -11,7 +11,7 @@ from tallyframe.operators import series
 from tallyframe.plans import scoring
 from tallyframe.session import new_folder
 from tallyframe.sources import tables, views
-from tallyframe.streaming import jobs, rules
+from tallyframe.streaming import jobs, rules, stores
 
 
 def _stream(spark, folder):
@@ -26,8 +26,8 @@ def _appended(spark, stream, label: str):
 
 def _state(spark, stream, label: str, keys):
     path = new_folder(spark, label)
-    jobs.start_changes(stream, path, new_folder(spark, f"{label}-progress")).awaitTermination()
-    return jobs.latest_state(spark, path, keys)
+    stores.start_totals(stream, path, new_folder(spark, f"{label}-progress"), keys).awaitTermination()
+    return stores.totals(spark, path, keys)
 
 
 @query("stream_counters", over("requests", "SELECT endpoint, method, status_code, count(*) AS value FROM requests GROUP BY ALL"))
@@ -183,3 +183,25 @@ def _(spark, folder):
     jobs.start_new_data_trigger(stream, events, new_folder(spark, "trigger-progress")).awaitTermination()
     flag = F.regexp_extract("details", "flag=([^/]+)/", 1).alias("flag")
     return tables.scan_log(spark, events).select(flag, "reason", "status").distinct()
+
+
+@query("stream_changed_files", """SELECT DISTINCT l_returnflag AS flag, 0 AS look FROM lineitem WHERE l_returnflag IN (SELECT l_returnflag FROM lineitem GROUP BY 1 HAVING count(*) >= 100)
+UNION ALL SELECT 'A', 1""")
+def _(spark, folder):
+    """Two looks at a folder: all files are new at first, then those of one flag have changed."""
+    path, schema = _csv_folder(spark, folder)
+    events, seen, progress, clock = (new_folder(spark, n) for n in ("events", "seen", "watch-progress", "clock"))
+
+    def look():
+        spark.range(1).select(F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'").alias("ts")).write.mode("append").parquet(clock)
+        ticks = jobs.table_stream(spark, clock)
+        stores.start_file_watch(ticks, path, schema, events, seen, progress).awaitTermination()
+
+    look()
+    lines = views.read_table(spark, folder, "lineitem").where("l_returnflag = 'A'")
+    again = lines.select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus")
+    again.unionByName(again.limit(1)).write.mode("overwrite").option("header", True).csv(f"{path}/flag=A")
+    look()
+    flag = F.regexp_extract("details", "flag=([^/]+)/", 1).alias("flag")
+    number = F.split_part("batch", F.lit("-"), F.lit(1)).cast("int").alias("look")
+    return tables.scan_log(spark, events).select(flag, number).distinct()

@@ -130,8 +130,15 @@ def append_performance(rows: DataFrame, path: str) -> str:
     return _append(_conform(rows, PERFORMANCE_SCHEMA), path)
 
 
-def append_retraining(rows: DataFrame, path: str) -> str:
-    return _append(_conform(rows, RETRAINING_SCHEMA, {"status": F.lit("triggered")}), path)
+def append_retraining(rows: DataFrame, path: str, batch: str | None = None) -> str:
+    """Retraining events. With the id of a ``batch`` they replace what that batch wrote before; a table of events is
+    either written by batches or appended to."""
+    events = _conform(rows, RETRAINING_SCHEMA, {"status": F.lit("triggered")})
+    if batch is None:
+        return _append(events, path)
+    dated = events.withColumn("dt", F.to_date("ts")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    dated.partitionBy("dt").parquet(f"{path}/batch={batch}")
+    return path
 
 
 def append_runs(rows: DataFrame, path: str) -> str:

@@ -178,30 +178,6 @@ def start_append(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
     )
 
 
-def start_changes(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Update-mode results as a change log, one folder per micro-batch. A replayed batch
-    overwrites its own folder."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("update")
-        .trigger(**(trigger or DRAIN))
-        .start()
-    )
-
-
-def latest_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest value per key of a change log."""
-    changes = spark.read.parquet(path)
-    rest = [c for c in changes.columns if c not in (*keys, "batch_id")]
-    newest = F.max_by(F.struct(*rest), F.col("batch_id")).alias("_v")
-    return changes.groupBy(*keys).agg(newest).select(*keys, "_v.*")
-
-
 def start_new_data_trigger(
     files: DataFrame,
     events_path: str,
@@ -210,7 +186,8 @@ def start_new_data_trigger(
     enabled: bool = True,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """A retraining event per new file with enough rows."""
+    """A retraining event per new file with enough rows, keyed by batch: a replayed one leaves no second event. Files are told by
+    their path; ``stores.start_file_watch`` also sees changed ones."""
 
     def check(batch: DataFrame, batch_id: int) -> None:
         if not enabled:
@@ -219,7 +196,7 @@ def start_new_data_trigger(
         ts = F.current_timestamp().cast("timestamp_ntz")
         columns = retraining_event(ts, "new_data")
         details = F.concat(F.lit("New data file: "), F.col("file_path")).alias("details")
-        append_retraining(counted.select(columns[0], columns[1], details, columns[3]), events_path)
+        append_retraining(counted.select(columns[0], columns[1], details, columns[3]), events_path, str(batch_id))
 
     return (
         files.writeStream.foreachBatch(check)
