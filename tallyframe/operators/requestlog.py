@@ -159,9 +159,9 @@ def log_search(log: DataFrame, criteria: Mapping[str, str | float | int | bool],
     return with_json_fields(log, criteria).select(*shown).orderBy(*_newest_first(log)).limit(limit)
 
 
-def service_metrics(log: DataFrame, as_of: AsOf = None) -> DataFrame:
+def service_metrics(log: DataFrame, as_of: AsOf = None, day: str | None = None) -> DataFrame:
     """Totals, last-hour count, average time and share of failed requests, in one pass."""
-    end = moment(as_of, log)
+    end = moment(as_of, log, day=day)
     errors = F.count_if(F.col("status_code") >= 400)
     return log.agg(
         F.count("prediction").alias("total_predictions"),
