@@ -52,6 +52,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _level(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component near one: no rounding, no overflow in squares."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def centres(sample: np.ndarray, lists: int) -> np.ndarray:
     """Unit centres of a sample of unit vectors (spherical k-means)."""
     rng = np.random.default_rng(SEED)
@@ -110,6 +115,7 @@ def scan(
     qi, xi = np.concatenate(found_q), np.concatenate(found_x)
     other = query_ids[qi] != ids[xi]
     qi, xi = qi[other], xi[other]
+    queries, rows = _level(queries), _level(rows)
     score = (queries[qi] * rows[xi]).sum(axis=1) / (np.sqrt((queries**2).sum(axis=1))[qi] * np.sqrt((rows**2).sum(axis=1))[xi])
     order = np.lexsort((ids[xi], -score, qi))
     qi, xi, score = qi[order], xi[order], score[order]

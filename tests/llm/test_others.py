@@ -55,6 +55,15 @@ def test_nearest(spark):
     assert [r.vec_id for r in sorted(everywhere, key=lambda r: r["rank"])] == [700, 701, 702, 703, 704]
 
 
+def test_nearest_with_very_large_and_small_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [3e200, 1e200]), (2, [2e-200, 1e-200]), (3, [-1e300, 1e300])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, frame.filter("vec_id = 0"), k=5).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [2, 1, 3]
+    for r, wanted in zip(got, (3 / math.sqrt(10), 2 / math.sqrt(5), 0.0)):
+        assert abs(r.score - wanted) < 1e-15
+
+
 def test_nearest_in_small_tables(spark):
     schema = "vec_id long, embedding array<float>"
     empty = spark.createDataFrame([], schema)
