@@ -2,7 +2,8 @@
 
 Only the histogram of piece lengths reaches the driver (``size`` counts, whatever the input). Patterns of
 two or three lengths that fill a sequence are fitted to it by non-negative least squares and rounded;
-what is left is packed best fit first on counts. The plan is a list of runs: pieces ``start .. start +
+what is left is packed best fit first on counts. The family of patterns (pairs, pairs and triples, none)
+that needs the fewest sequences is taken. The plan is a list of runs: pieces ``start .. start +
 count - 1`` of a length go to consecutive sequences at one offset. A piece finds its run by its length
 and its rank among pieces of that length, which is its rank within its task plus the count of all tasks
 before, so equal lengths are spread over all tasks and token ids are never moved.
@@ -51,14 +52,14 @@ def pieces_of(docs: DataFrame, vocabulary: str, size: int, doc_id: str, text: st
                 held += len(ids)
                 if held > 1 << 22 or i + 1 == len(batch):
                     rows, piece_no, starts, lengths, parts, ranks = out
-                    columns = [pa.array(x, pa.int64()) for x in (piece_no, starts, lengths)]
+                    columns = [pa.array(piece_no, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64())]
                     columns += [pa.array(parts, pa.binary()), pa.array([task] * len(rows), pa.int32()), pa.array(ranks, pa.int64())]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *columns], names)
                     out, held = ([], [], [], [], [], []), 0
 
     kind = docs.schema[doc_id].dataType.simpleString()
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string"))
-    return own.mapInArrow(run, f"doc_id {kind}, piece long, start long, length long, ids binary, task int, rank long")
+    return own.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary, task int, rank long")
 
 
 # --- the plan --------------------------------------------------------------------------------------
@@ -95,7 +96,18 @@ def fit(rows: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def plan(counts: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, int]:
-    """Runs ``(length, start rank, count, first sequence, offset)`` and the number of sequences."""
+    """Runs ``(length, start rank, count, first sequence, offset)`` and the number of sequences.
+
+    Rounded patterns can use up lengths that a better mixture needs, so each family is packed to the end
+    and the shortest plan wins; of equals the one with more patterns.
+    """
+    rows = patterns(counts, size)
+    families = [rows, rows[rows[:, 0] == 0], rows[:0]]
+    return min((packed(counts, size, family) for family in families), key=lambda one: one[1])
+
+
+def packed(counts: np.ndarray, size: int, rows: np.ndarray) -> tuple[np.ndarray, int]:
+    """The plan that begins with fitted repeats of the patterns ``rows``."""
     left = counts.astype(np.int64).copy()
     left[0] = 0
     begin = np.zeros(len(left), dtype=np.int64)
@@ -107,7 +119,6 @@ def plan(counts: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, int]:
         begin[length] += count
         left[length] -= count
 
-    rows = patterns(left, size)
     if len(rows):
         x = fit(rows, left)
         order = np.argsort(-x, kind="stable")

@@ -1,4 +1,7 @@
-"""Byte-level BPE ids of whole texts, with a cache of the words seen by a Python worker."""
+"""Byte-level BPE ids of whole texts, with a cache of the words seen by a Python worker.
+
+Added tokens of the vocabulary are cut out of a text first, as its own tokenizer does.
+"""
 
 from __future__ import annotations
 
@@ -30,7 +33,9 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             vocabulary = json.load(f)
-        letters, special = byte_letters(), {t["content"] for t in vocabulary["added_tokens"]}
+        letters, special = byte_letters(), {t["content"]: t["id"] for t in vocabulary["added_tokens"]}
+        if any(t[k] for t in vocabulary["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("only added tokens that are matched as they stand are supported")
         ranks = {bytes(letters[c] for c in word): i for word, i in vocabulary["model"]["vocab"].items() if word not in special}
         encode = tiktoken.Encoding("words", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
@@ -46,10 +51,20 @@ class Encoder:
 
         self._whole = lambda text: array("I", encode(text)).tobytes()
         self._first, self._next = Cache(""), Cache(" ")
+        self._special = {content: array("I", [i]).tobytes() for content, i in special.items()}
+        longest_first = sorted(special, key=len, reverse=True)
+        self._cuts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(content in text for content in self._special):
+            # every second part is an added token
+            parts = enumerate(self._cuts.split(text))
+            return b"".join(self._special[part] if i % 2 else self._plain(part) for i, part in parts if part)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _IRREGULAR.search(text):
             return self._whole(text)
         first, *rest = text.split(" ")
