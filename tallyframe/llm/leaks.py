@@ -231,6 +231,6 @@ def find_leaks(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; rows without an id stay."""
+    """The rows of ``docs`` that hold no benchmark item; rows without an id stay. Other columns may have any names."""
     leaks = find_leaks(docs, benchmark, doc_id=doc_id, text=text).select(F.col(doc_id).alias("_leak")).distinct()
-    return docs.join(leaks, docs[doc_id] == F.col("_leak"), "left_anti")
+    return docs.join(leaks, docs[doc_id] == leaks["_leak"], "left_anti")

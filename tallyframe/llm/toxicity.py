@@ -310,6 +310,6 @@ def score_texts(
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic; rows without an id stay."""
+    """The rows of ``docs`` that are not predicted toxic; rows without an id stay. Other columns may have any names."""
     toxic = score_texts(docs, labels, doc_id, text).filter("predicted = 1").select(F.col(doc_id).alias("_toxic")).distinct()
-    return docs.join(toxic, docs[doc_id] == F.col("_toxic"), "left_anti")
+    return docs.join(toxic, docs[doc_id] == toxic["_toxic"], "left_anti")

@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.llm import leaks, lines, packing, recurrent, simhash, substrings, tokens
+from tallyframe.llm import leaks, lines, packing, recurrent, simhash, substrings, tokens, toxicity
 from tallyframe.llm.catalog import vocabulary
 
 SCHEMA = "doc_id long, text string, h long, doc string, sig long, n_removed string"
@@ -160,6 +160,19 @@ def test_leaks(spark):
     assert leaks.find_leaks(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_filters_leave_clashing_columns_alone(spark):
+    text = "the quick brown fox jumps over the lazy dog near the river bank"
+    docs = spark.createDataFrame([(1, text, 5, "x"), (2, "nothing of the kind is here", 6, "y"), (None, text, 7, "z")], "doc_id long, text string, _leak int, _toxic string")
+    bench = spark.createDataFrame([(9, text)], "item_id long, text string")
+    kept = leaks.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted((r["_leak"], r["_toxic"]) for r in kept.collect()) == [(6, "y"), (7, "z")]
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(r["_leak"] for r in kept.collect()) == [5, 6, 7]
+
+
 def test_packing(spark):
     import zlib
 
@@ -167,12 +180,11 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     rng = random.Random(1)
-    odd = ["", None, " lead", "two  spaces", "end ", "x\n y", "don't stop", "日本 𝒳 é", "a" * 3000, "<|endoftext|>", "tab\tnew\n\nline", "  x"]
+    odd = ["", None, " lead", "two  spaces", "end ", "x\n y", "don't stop", "日本 𝒳 é", "a" * 3000, "<|endoftext|>", "a <|endoftext|> b", " x<|endoftext|><|endoftext|>  y\n", "tab\tnew\n\nline", "  x"]
     rows = [(i, t) for i, t in enumerate(odd)] + [(i, " ".join(rng.choice(["alpha", "Beta", "9", "é,"]) for _ in range(rng.randrange(900)))) for i in range(20, 80)]
     rows += [(80, "b " * 9000), (80, "b " * 9000), (None, "nameless")]
     got = packing.pack_documents(frame(spark, rows), vocabulary("byte_bpe_50k.json"), 128).collect()
     tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     wanted = []
     for (i, t), e in zip(rows, tokenizer.encode_batch([t or "" for _, t in rows], add_special_tokens=False)):
         ids = np.array(e.ids + [0], dtype="<u4")
@@ -189,6 +201,7 @@ def test_packing(spark):
             assert offset == end
             end += length
         assert end <= 128
+    assert dict(packing.pack_documents(frame(spark, rows), vocabulary("byte_bpe_50k.json")).dtypes)["piece"] == "int"
     assert len(places) <= 1.05 * sum(r.length for r in got) / 128 + 2
     assert packing.pack_documents(frame(spark, []), vocabulary("byte_bpe_50k.json")).count() == 0
 
@@ -204,6 +217,26 @@ def test_plan_places_every_piece():
         assert sequences >= counts @ np.arange(65) / 64
 
 
+def test_plan_is_no_worse_than_best_fit_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    size = 512
+    samples = {
+        "even": rng.integers(1, size + 1, 20_000),
+        "many short": rng.geometric(1 / 90, 20_000),
+        "skewed": np.exp(rng.normal(4.2, 1, 20_000)).astype(int),
+        "middle": rng.integers(160, 380, 20_000),
+        "four lengths": rng.choice([75, 175, 262, 375], 20_000),
+    }
+    for name, lengths in samples.items():
+        counts = np.bincount(np.clip(lengths, 1, size), minlength=size + 1)
+        runs, sequences = packing.plan(counts, size)
+        assert sequences <= packing.packed(counts, size, packing.patterns(counts, size)[:0])[1], name
+        assert np.array_equal(np.bincount(runs[:, 0], weights=runs[:, 2], minlength=size + 1), counts), name
+        assert sequences >= counts @ np.arange(size + 1) / size
+
+
 def test_encoder_is_shared():
     assert tokens.encoder(vocabulary("byte_bpe_50k.json")) is tokens.encoder(vocabulary("byte_bpe_50k.json"))
 
