@@ -11,7 +11,7 @@ from tallyframe.catalog.registry import over, query, r, tidy
 from tallyframe.catalog.validation import business_errors
 from tallyframe.functions.timing import newest
 from tallyframe.operators import evaluation, registry, retraining
-from tallyframe.plans import scoring, training, workflow
+from tallyframe.plans import linear, scoring, training, workflow
 from tallyframe.plans.stages import feature_stages
 from tallyframe.operators.cleaning import clean_table, split_train_test
 from tallyframe.session import new_folder
@@ -273,6 +273,47 @@ def _(spark, folder):
     return tidy(training.cross_validate(_data(spark, folder), "block_id", spec, 5)[1], 4)
 
 
+# All inputs: in SQL each input in turn is taken out of the target and of the inputs after it.
+ROOM_INPUTS = [f"ln(1e0 + {c})" if c in ROOMS["log_columns"] else c for c in ROOMS["numeric"]]
+ROOM_INPUTS += [f"{a} / {b}" for a, b in ROOMS["ratios"].values()]
+ROOM_INPUTS += [f"CAST(ocean_proximity = '{c}' AS INTEGER)" for c in ("INLAND", "ISLAND", "NEAR BAY", "NEAR OCEAN")]
+
+
+def _rest_sql(groups: str, trained: str) -> str:
+    """``rest (part, f, w, y, e)``: what the inputs leave of the target, fitted per ``f`` to the rows where ``trained`` holds."""
+    n = len(ROOM_INPUTS)
+    tables = [f"""
+  x AS (SELECT {HASH} AS part, total_rooms AS y, {', '.join(f'{x} AS x{k}' for k, x in enumerate(ROOM_INPUTS))} FROM clean),
+  w AS (SELECT *, CAST({trained} AS INTEGER) AS w FROM x, (SELECT unnest({groups}) AS f)),
+  m AS (SELECT part, f, w, y, y - sum(w * y) OVER p / sum(w) OVER p AS e,
+    {', '.join(f'x{k} - sum(w * x{k}) OVER p / sum(w) OVER p AS x{k}' for k in range(n))} FROM w WINDOW p AS (PARTITION BY f)),
+  s0 AS (SELECT *, {', '.join(f'sum(w * x{k} * x{k}) OVER p AS d{k}' for k in range(n))} FROM m WINDOW p AS (PARTITION BY f))"""]
+    for k in range(n):
+        own = f"sum(w * x{k} * x{k}) OVER p"
+        less = lambda z: f"{z} - CASE WHEN {own} > 1e-9 * d{k} THEN x{k} * sum(w * x{k} * {z}) OVER p / {own} ELSE 0 END AS {z}"
+        later = range(k + 1, n)
+        columns = ["part", "f", "w", "y", less("e"), *(less(f"x{j}") for j in later), *(f"d{j}" for j in later)]
+        tables.append(f"\n  s{k + 1} AS (SELECT {', '.join(columns)} FROM s{k} WINDOW p AS (PARTITION BY f))")
+    return ",".join(tables) + f",\n  rest AS (SELECT part, f, w, y, e FROM s{n})"
+
+
+@query("eval_cv_all", over("blocks", clean_sql(500000) + "," + _rest_sql("[0, 1, 2, 3, 4]", "part % 5 <> f") + """,
+  per_fold AS (SELECT f, avg(e * e) AS mse, avg(abs(e)) AS mae, 1 - sum(e * e) / (count(*) * var_pop(y)) AS r2 FROM rest WHERE w = 0 GROUP BY f)
+""" + "\nUNION ALL ".join(f"SELECT '{m}' AS metric, {r(f'avg({m})', 4)} AS mean, {r(f'stddev_pop({m})', 4)} AS std FROM per_fold" for m in ("mse", "mae", "r2"))))
+def _(spark, folder):
+    """Five folds of a linear model of all inputs, all fitted from one table of sums."""
+    return tidy(linear.cross_validate_sums(_data(spark, folder), "block_id", _spec("linear"), 5)[1], 4)
+
+
+@query("train_linear_sums", over("blocks", clean_sql(500000) + "," + _rest_sql("[0]", "part % 10000 >= 2000") + f"""
+SELECT CASE w WHEN 1 THEN 'train' ELSE 'test' END AS split, {r('sqrt(avg(e * e))', 4)} AS rmse, {r('avg(abs(e))', 4)} AS mae,
+  {r('1 - sum(e * e) / (count(*) * var_pop(y))', 4)} AS r2 FROM rest GROUP BY w"""))
+def _(spark, folder):
+    """Both sides' metrics of a linear model of all inputs."""
+    labelled = split_train_test(_data(spark, folder), "block_id")
+    return tidy(linear.train_sums(labelled, _spec("linear"))[1].select("split", "rmse", "mae", "r2"), 4)
+
+
 @query("feature_importance")
 def _(spark, folder):
     model = _trained(spark, folder, "tree")[1][0]
