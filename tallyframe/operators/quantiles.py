@@ -1,11 +1,14 @@
-"""Exact quantiles with bounded state.
-
-The built-in exact ``percentile`` keeps a count per distinct value in one task, which is
-fine only while the table is small. Above ``direct_rows`` the values around each wanted
-rank are bracketed with ``percentile_approx`` until few rows are left inside the bracket,
-and only those are counted value by value. Every step is a plain aggregate with map-side
-combine. Values that repeat on an interval end are taken out of the interval, so each step
-shrinks it whatever the skew.
+"""Exact quantiles with bounded state and a number of reads that depends on neither width nor skew.
+
+The built-in exact ``percentile`` keeps a count per distinct value in one task. Here the wanted order statistics of all
+columns are narrowed together, digit by digit: the first read counts values per sign and power of two, each later
+one splits every interval that still holds a wanted rank into ``accuracy`` equal parts. Intervals of at most ``bracket_rows``
+values are counted value by value in the same read. Every read is one plain aggregate with map-side
+combine that gives count, least and greatest value per part, so intervals shrink to values that
+occur, and a hot value ends its interval at once.
+
+A power of two has 2^52 doubles and a read divides by ``accuracy``, so six reads are the most at the default,
+four are usual; the built-in functions have no access to the bits of a double, hence parts of equal width.
 """
 
 from __future__ import annotations
@@ -14,196 +17,124 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 50_000
 BRACKET_ROWS = 20_000
-ACCURACY = 5_000
-# Columns bracketed at a time: each has several counters per quantile, and an aggregate with
-# too many of them leaves code generation. Every column is still read the same number of times.
-COLUMNS_AT_ONCE = 4
-# A round leaves a small share of an interval; more rounds than this mean that the table changes.
-MOST_ROUNDS = 60
+ACCURACY = 2_048
+# Rows a read brings to the driver at most, whatever the width: intervals share them.
+ROWS_AT_ONCE = 500_000
+# Below the first power of two a double can have, above the last one; infinities are beyond all.
+LOWEST_POWER, INFINITE = 1_100, 5_000
 
 
-@dataclass
-class _Rank:
-    """Two neighbouring order statistics and the open value interval they are known to lie in."""
+@dataclass(frozen=True)
+class _Interval:
+    """A part of a column's values, from the least to the greatest one in it, that holds wanted ranks."""
 
-    column: str
-    first: int  # zero-based rank among the finite values; the second is the same or the next
-    second: int
+    column: int
     low: float
     high: float
-    below: int  # values at or under ``low``
+    below: int  # values of the column under ``low``
     inside: int
-    spare: float
-
-    def holds(self) -> Column:
-        return (F.col(self.column) > F.lit(self.low)) & (F.col(self.column) < F.lit(self.high))
-
-    def ends(self) -> tuple[float, float]:
-        """Shares of the interval between which the wanted ranks surely lie."""
-        at = [(k - self.below) / max(self.inside - 1, 1) for k in (self.first, self.second)]
-        return max(at[0] - self.spare, 0.0), min(at[1] + self.spare, 1.0)
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    direct_rows: int = DIRECT_ROWS,
     bracket_rows: int = BRACKET_ROWS,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, ``None`` for a column without values.
 
     NaN is missing, like NULL. Infinities are values: a quantile whose lower neighbour is minus
-    infinity, or whose upper neighbour is plus infinity, is that infinity. They are counted first, and only
-    finite values are bracketed, so both ways of reading them give equal answers.
+    infinity, or whose upper neighbour is plus infinity, is that infinity. The table must not change between reads.
     """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
     numbers = [F.col(c).cast("double") for c in columns]
-    finite = df.select(*[F.when(F.abs(x) < F.lit(math.inf), x).alias(f"v{i}") for i, x in enumerate(numbers)])
-    counts = [
-        F.struct(F.count_if(F.abs(x) < F.lit(math.inf)), F.count_if(x == F.lit(-math.inf)), F.count_if(x == F.lit(math.inf)))
-        for x in numbers
-    ]
-    rows, *sizes = df.agg(F.count(F.lit(1)), *counts).first()
-    out: dict[str, list[float | None]] = {}
-    wanted: dict[str, dict[int, float]] = {}  # column -> place among the probabilities -> position among finite values
-    for c, (inner, least, most) in zip(columns, sizes):
-        n, out[c] = inner + least + most, [None] * len(probabilities)
-        for j, p in enumerate(probabilities if n else ()):
-            pos = p * (n - 1)
-            if math.floor(pos) < least:
-                out[c][j] = -math.inf
-            elif math.ceil(pos) >= least + inner:
-                out[c][j] = math.inf
-            else:
-                wanted.setdefault(c, {})[j] = pos - least
-    asked = [(i, c, sizes[i][0]) for i, c in enumerate(columns) if c in wanted]
-    if rows <= direct_rows:
-        shares = [F.array(*[F.lit(pos / max(n - 1, 1)) for pos in wanted[c].values()]) for _, c, n in asked]
-        read = finite.agg(*[F.percentile(f"v{i}", share) for (i, _, _), share in zip(asked, shares)]).first() if asked else ()
-        for (_, c, _), values in zip(asked, read):
-            for j, v in zip(wanted[c], values):
-                out[c][j] = v
-        return out
-    for start in range(0, len(asked), COLUMNS_AT_ONCE):
-        for (c, j), v in _narrowed(finite, asked[start : start + COLUMNS_AT_ONCE], wanted, bracket_rows, accuracy).items():
-            out[c][j] = v
-    return out
-
-
-def _narrowed(values, columns, wanted, bracket_rows, accuracy):
-    active = {
-        (c, j): _Rank(f"v{i}", math.floor(pos), math.ceil(pos), -math.inf, math.inf, 0, n, 3.0 / accuracy)
-        for i, c, n in columns
-        for j, pos in wanted[c].items()
+    values = df.select(*[F.when(~F.isnan(x), x).alias(f"v{i}") for i, x in enumerate(numbers)])
+
+    # rank -> value per column; places of the quantiles between ranks
+    known: list[dict[int, float]] = [{} for _ in columns]
+    whole = [_Interval(i, -math.inf, math.inf, 0, 0) for i in range(len(columns))]
+    parts = _counted(values, whole, [_power(f"v{i}") for i in range(len(columns))])
+    sizes = [int(part["n"].sum()) for part in parts]
+    wanted = [[p * (n - 1) for p in probabilities] if n else [] for n in sizes]
+    ranks = [sorted({int(k) for pos in at for k in (math.floor(pos), math.ceil(pos))}) for at in wanted]
+    open_ = [part for own, table in zip(whole, parts) for part in _holding(own, table, ranks[own.column], known[own.column])]
+
+    while open_:
+        share = ROWS_AT_ONCE // len(open_)
+        keys = [_digit(i, min(bracket_rows, share), max(min(accuracy, share), 2)) for i in open_]
+        parts = _counted(values, open_, keys)
+        open_ = [part for own, table in zip(open_, parts) for part in _holding(own, table, ranks[own.column], known[own.column])]
+    return {
+        c: [_between(known[i], pos) for pos in wanted[i]] if sizes[i] else [None] * len(probabilities)
+        for i, c in enumerate(columns)
     }
-    found: dict[tuple[str, int], tuple[float, float]] = {}
-    for _ in range(MOST_ROUNDS):
-        wide = {k: r for k, r in active.items() if r.inside > bracket_rows}
-        found.update(_tighten(values, wide, accuracy) if wide else {})
-        ready = {k: r for k, r in active.items() if k not in found and r.inside <= bracket_rows}
-        found.update(_pick(values, ready) if ready else {})
-        active = {k: r for k, r in active.items() if k not in found}
-        if not active:
-            return {(c, j): _between(pair, wanted[c][j]) for (c, j), pair in found.items()}
-    raise RuntimeError(f"no quantile found for {sorted(active)} in {MOST_ROUNDS} rounds")
-
-
-def _between(pair, pos):
-    return pair[0] + (pair[1] - pair[0]) * (pos - math.floor(pos))
-
-
-def _tighten(values, ranks, accuracy):
-    """Narrow each interval around its ranks; returns those that fall on an interval end."""
-    # Ranks that still share an interval share one sketch.
-    shared: dict[tuple, list[_Rank]] = {}
-    for r in ranks.values():
-        shared.setdefault((r.column, r.low, r.high), []).append(r)
-    sketches = values.agg(
-        *[
-            F.percentile_approx(
-                F.when(rs[0].holds(), F.col(rs[0].column)),
-                F.array(*[F.lit(e) for r in rs for e in r.ends()]),
-                F.lit(accuracy),
-            )
-            for rs in shared.values()
-        ]
-    ).first()
-    ends = {}
-    for rs, cuts in zip(shared.values(), sketches):
-        ends.update({id(r): (cuts[2 * j], cuts[2 * j + 1]) for j, r in enumerate(rs)})
-    counts = values.agg(
-        *[
-            F.struct(
-                F.count_if(F.col(r.column) < F.lit(low)),
-                F.count_if(F.col(r.column) == F.lit(low)),
-                F.count_if(F.col(r.column) < F.lit(high)),
-                F.count_if(F.col(r.column) == F.lit(high)),
-            )
-            for r in ranks.values()
-            for low, high in [ends[id(r)]]
-        ]
-    ).first()
-    hit = {}
-    for (key, r), (under, on_low, under_high, on_high) in zip(ranks.items(), counts):
-        low, high = ends[id(r)]
-        on = [
-            low if under <= k < under + on_low else high if under_high <= k < under_high + on_high else None
-            for k in (r.first, r.second)
-        ]
-        if not under <= r.first <= r.second < under_high + on_high:
-            r.spare *= 4  # the sketch was further off than promised: try again with wider ends
-        elif None not in on:
-            hit[key] = (on[0], on[1])
-        elif on == [None, None]:
-            r.low, r.high, r.below, r.inside = low, high, under + on_low, under_high - under - on_low
-        else:
-            hit.update(_neighbour(values, key, r, low if on[0] is not None else high, on))
-    return hit
-
-
-def _neighbour(values, key, r, end, on):
-    """One rank is an interval end, the other the next value inside: a plain min or max."""
-    inner = F.min(F.when(F.col(r.column) > F.lit(end), F.col(r.column)))
-    if on[0] is None:
-        inner = F.max(F.when(F.col(r.column) < F.lit(end), F.col(r.column)))
-    other = values.agg(inner).first()[0]
-    return {key: (end, other) if on[0] is not None else (other, end)}
-
-
-def _pick(values, ready):
-    """Read the wanted ranks off per-value counts; at most ``bracket_rows`` values per rank."""
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(r.holds(), F.struct(F.lit(j).alias("t"), F.col(r.column).alias("v")))
-                for j, r in enumerate(ready.values())
-            ]
-        )
-    )
-    counted = (
-        values.select(F.explode(hits).alias("h"))
-        .groupBy(F.col("h.t").alias("t"), F.col("h.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+
+
+def _power(name: str) -> Column:
+    """Sign and power of two of a value as one number that never falls as the value grows."""
+    size = F.abs(F.col(name))
+    power = F.when(size == F.lit(math.inf), F.lit(float(INFINITE))).when(size > 0, F.floor(F.log2(size)).cast("double") + F.lit(float(LOWEST_POWER)))
+    return F.signum(F.col(name)) * F.coalesce(power, F.lit(0.0))
+
+
+def _digit(own: _Interval, few: int, accuracy: int) -> Column:
+    """The value itself where few are left, else the part of the interval it falls in."""
+    value = F.col(f"v{own.column}")
+    if own.inside <= few:
+        return value
+    return F.floor((value - F.lit(own.low)) / F.lit(own.high - own.low) * F.lit(float(accuracy))).cast("double")
+
+
+def _counted(values: DataFrame, intervals: list[_Interval], keys: list[Column]) -> list[dict[str, np.ndarray]]:
+    """One read: per interval its parts in order, with count, least and greatest value."""
+    cells = []
+    for t, (own, key) in enumerate(zip(intervals, keys)):
+        value = F.col(f"v{own.column}")
+        cell = F.struct(F.lit(t).alias("t"), key.alias("part"), value.alias("v"))
+        cells.append(F.when((value >= F.lit(own.low)) & (value <= F.lit(own.high)), cell))
+    table = (
+        values.select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("t", "part")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .select("t", "n", "low", "high")
+        .toArrow()
     )
-    per_target: dict[int, list[tuple[float, int]]] = {}
-    for t, v, n in counted.collect():
-        per_target.setdefault(t, []).append((v, n))
-    out = {}
-    for j, (key, r) in enumerate(ready.items()):
-        seen, pair = r.below, []
-        for v, n in sorted(per_target[j]):
-            seen += n
-            pair += [v for k in (r.first, r.second)[len(pair) :] if seen > k]
-            if len(pair) == 2:
-                break
-        out[key] = (pair[0], pair[1])
-    return out
+    t, n, low, high = (table.column(c).to_numpy() for c in ("t", "n", "low", "high"))
+    order = np.lexsort((low, t))
+    ends = np.searchsorted(t[order], np.arange(len(intervals) + 1))
+    return [{"n": n[o], "low": low[o], "high": high[o]} for a, b in zip(ends, ends[1:]) for o in [order[a:b]]]
+
+
+def _holding(own: _Interval, parts: dict[str, np.ndarray], ranks: list[int], known: dict[int, float]) -> list[_Interval]:
+    """Parts that hold ranks still unknown; ranks in parts of a single value become known."""
+    ends = own.below + np.cumsum(parts["n"])
+    found: dict[int, _Interval] = {}
+    for k in ranks:
+        if k in known or not len(ends) or not own.below <= k < ends[-1]:
+            continue
+        at = int(np.searchsorted(ends, k, side="right"))
+        n, low, high = int(parts["n"][at]), float(parts["low"][at]), float(parts["high"][at])
+        if low == high:
+            known[k] = low
+        elif k == ends[at] - n:
+            known[k] = low
+        elif k == ends[at] - 1:
+            known[k] = high
+        else:
+            found[at] = _Interval(own.column, low, high, int(ends[at]) - n, n)
+    return list(found.values())
+
+
+def _between(known: dict[int, float], pos: float) -> float:
+    low, high = known[math.floor(pos)], known[math.ceil(pos)]
+    if math.isinf(low) or math.isinf(high):
+        return low if low == -math.inf else high
+    return low + (high - low) * (pos - math.floor(pos))

@@ -35,12 +35,12 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("direct", [0, 50_000])
+@pytest.mark.parametrize("bracket", [1, 20, 50_000])
 @pytest.mark.parametrize("case", CASES)
-def test_quantiles(spark, case, direct):
+def test_quantiles(spark, case, bracket):
     shares = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     frame = spark.createDataFrame([(v,) for v in CASES[case]], "x double")
-    got = exact_quantiles(frame, ["x"], shares, direct_rows=direct, bracket_rows=20)["x"]
+    got = exact_quantiles(frame, ["x"], shares, bracket_rows=bracket)["x"]
     for p, value in zip(shares, got):
         want = expected(CASES[case], p)
         assert value == want or abs(value - want) < 1e-9, (p, value, want)
