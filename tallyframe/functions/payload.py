@@ -18,12 +18,14 @@ def parse_payload(text: Column | str, schema: T.StructType | str) -> Column:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
-    nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-    whole = F.coalesce(parsed, nothing)
-    floats = [f.name for f in schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    for name in floats:
-        whole = whole.withField(f"`{name}`", F.when(~F.isnan(whole[name]), whole[name]))
-    return whole
+
+    def fields(p: Column) -> Column:
+        floats = (T.DoubleType, T.FloatType)
+        parts = {f.name: p.getField(f.name) for f in schema}
+        return F.struct(*[(F.when(~F.isnan(parts[f.name]), parts[f.name]) if isinstance(f.dataType, floats) else parts[f.name]).alias(f.name) for f in schema])
+
+    # a list of one, so that the text is parsed once however many fields there are
+    return F.transform(F.array(parsed), fields)[0]
 
 
 def payload_field(text: Column | str, field: str) -> Column:

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tallyframe.functions.payload import parse_payload
 from tallyframe.functions import numeric as num
 from tallyframe.functions import payload, timing
 from tallyframe.operators import cleaning, features
@@ -111,3 +112,13 @@ def test_split_does_not_depend_on_partitions(spark):
     b = {r.id: r.split for r in cleaning.split_train_test(df.repartition(7), "id").collect()}
     share = sum(v == "test" for v in a.values()) / len(a)
     assert a == b and 0.17 < share < 0.23
+
+
+def test_wide_payloads_are_parsed_in_one_plan(spark):
+    """The expression grows with the number of fields, not with a power of it."""
+    names = [f"n{i}" for i in range(60)]
+    schema = ", ".join(f"{n} double" for n in names) + ", `a.b` string"
+    rows = ['{"n0": 1.5, "n1": "NaN", "n59": 2, "a.b": "x"}', "{broken", None, "{}"]
+    frame = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = frame.select(parse_payload("t", schema).alias("p")).select("p.n0", "p.n1", "p.n59", F.col("p")["a.b"]).collect()
+    assert [tuple(r) for r in got] == [(1.5, None, 2.0, "x")] + [(None, None, None, None)] * 3
