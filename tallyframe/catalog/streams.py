@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.catalog.models import _one_input, validated_sql
+from tallyframe.catalog.models import _trained, validated_sql
 from tallyframe.catalog.registry import ORACLES, over, query, r, tidy
 from tallyframe.catalog.series import AT, HOLD, STEP, TIME, W, _late
 from tallyframe.operators import series
@@ -145,18 +145,19 @@ def _(spark, folder):
 @query("stream_score", validated_sql("id"))
 def _(spark, folder):
     """Feature rows as JSON requests, scored and logged as they come."""
-    model = _one_input(spark, folder)[1]
+    model = _trained(spark, folder, "linear")[1][0]
     raw = new_folder(spark, "raw")
     table = views.blocks(spark, folder)
+    fields = [*scoring.INPUT_FIELDS, "median_house_value"]
     table.select(
         F.col("block_id").alias("id"),
         F.expr("TIMESTAMP_NTZ'2024-02-01 00:00:00'").alias("ts"),
-        F.to_json(F.struct(*scoring.INPUT_FIELDS)).alias("input_data"),
+        F.to_json(F.struct(*fields)).alias("input_data"),
     ).write.parquet(raw)
-    schema = table.select(*scoring.INPUT_FIELDS).schema
+    schema = table.select(*fields).schema
     scored = jobs.score_stream(jobs.table_stream(spark, raw), model, schema)
     out = _appended(spark, scored, "scored")
-    return tidy(out.select("id", "prediction", "status_code", "error_message"), 4)
+    return tidy(out.select("id", "prediction", "status_code", "error_message"), 1)
 
 
 def _csv_folder(spark, folder):
