@@ -87,7 +87,7 @@ class Tags:
         self.known: dict[tuple, tuple] = {}
 
     def of(self, close: bool, name: str, attrs: str) -> tuple[str, bool, bool, int]:
-        """Name, whether it opens an element beside the article, whether only its class or id says so, and its token."""
+        """Name, whether it opens an element beside the article, whether only its class or id (or being a form) says so, and its token."""
         key = (close, name, attrs)
         found = self.known.get(key)
         if found is None:
@@ -96,8 +96,9 @@ class Tags:
             for k, v in _ATTRIBUTE.findall(attrs):
                 marks.setdefault(k.lower(), v.strip("\"'").lower())
             names = (marks.get("class", "") + " " + marks.get("id", "")).split()
-            named = name not in CONTENT and any(map(_beside_name, names))
-            beside = name in ASIDE or marks.get("role") in ASIDE_ROLES
+            # a form may be around the whole page, so it is judged by its text, like an element known by its names
+            named = name == "form" or name not in CONTENT and any(map(_beside_name, names))
+            beside = name in ASIDE and name != "form" or marks.get("role") in ASIDE_ROLES
             hidden = "hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", "")
             kept = "" if close else " ".join(f"{k}={marks[k]}" for k in ("class", "id", "role") if k in marks)
             sure, root = beside or hidden, name in ("html", "body")
@@ -119,7 +120,7 @@ class Event:
 def events(html: str, tags: Tags) -> list[Event]:
     """Tags and texts of a page in order. A text knows whether it is inside an element beside the article,
     inside the article's own element, and inside a link. An element that holds ``main`` or more than ``MOST`` of the text
-    is not beside the article for its class or id alone."""
+    is not beside the article for its class or id, or as a form, alone."""
     out, held = _events(html, tags, frozenset())
     return _events(html, tags, held)[0] if held else out
 
@@ -188,10 +189,19 @@ def _events(html: str, tags: Tags, held: frozenset[int]) -> tuple[list[Event], f
     return out, frozenset(own for own, n, whole in inside if whole or n > MOST * chars)
 
 
+def _print_of(seen: list[Event]) -> int:
+    """A number of a page's main text: pages whose three longest texts are the same have the same one."""
+    longest = sorted({(-len(e.text), e.token) for e in seen if not e.tag and e.token and not e.beside})[:3]
+    mixed = 0
+    for _, token in longest:
+        mixed ^= token
+    return _signed(mixed)
+
+
 def token_rows(own: DataFrame) -> DataFrame:
     """Per host and token: pages that have it, most on one page, summed first place, and two sums that stand for
-    its occurrence vector. A host's pages are counted under token null."""
-    names = ["host", "token", "tag", "pages", "most", "place", "sum1", "sum2"]
+    its occurrence vector; least and greatest number of the main texts it occurs with. A host's pages are counted under token null."""
+    names = ["host", "token", "tag", "pages", "most", "place", "sum1", "sum2", "low", "high"]
     mask = (1 << 64) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,13 +213,16 @@ def token_rows(own: DataFrame) -> DataFrame:
                 for page, url, html in zip(*(part.column(i).to_pylist() for i in range(3))):
                     host = host_of(url)
                     key = _number(f"{page}|{url}")
-                    seen.setdefault((host, None, True), [0, 0, 0, 0, 0])[0] += 1
+                    found = events(html or "", tags)
+                    main = _print_of(found)
+                    seen.setdefault((host, None, True), [0, 0, 0, 0, 0, main, main])[0] += 1
                     counts: dict[tuple, list] = {}
-                    for place, event in enumerate(events(html or "", tags)):
+                    for place, event in enumerate(found):
                         if event.token:
                             counts.setdefault((event.token, event.tag), [0, place])[0] += 1
                     for (token, tag), (n, place) in counts.items():
-                        row = seen.setdefault((host, token, tag), [0, 0, 0, 0, 0])
+                        row = seen.setdefault((host, token, tag), [0, 0, 0, 0, 0, main, main])
+                        row[5:] = min(row[5], main), max(row[6], main)
                         row[0] += 1
                         row[1] = max(row[1], n)
                         row[2] += place
@@ -223,12 +236,14 @@ def token_rows(own: DataFrame) -> DataFrame:
                     *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in range(3)),
                     # 32 bits of each sum: adding up two thousand million of them stays within a long
                     *(pa.array([v[i] & (1 << 32) - 1 for v in seen.values()], pa.int64()) for i in (3, 4)),
+                    *(pa.array([v[i] for v in seen.values()], pa.int64()) for i in (5, 6)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = own.mapInArrow(run, "host string, token long, tag boolean, pages long, most long, place long, sum1 long, sum2 long")
+    rows = own.mapInArrow(run, "host string, token long, tag boolean, pages long, most long, place long, sum1 long, sum2 long, low long, high long")
     totals = [F.sum("pages").alias("pages"), F.max("most").alias("most"), F.sum("place").alias("place")]
     totals += [F.pmod(F.sum(c), F.lit(1 << 32)).alias(c) for c in ("sum1", "sum2")]
+    totals += [F.min("low").alias("low"), F.max("high").alias("high")]
     return rows.groupBy("host", "token", "tag").agg(*totals)
 
 
@@ -243,7 +258,8 @@ def templates(rows: DataFrame) -> DataFrame:
         tag["at"] = tag.place / tag.pages
         tag["kind"] = tag.groupby(["pages", "sum1", "sum2"]).ngroup()
         tag = tag[tag.groupby("kind").token.transform("size") >= 2].sort_values(["at", "token"])
-        texts = part[~part.tag].token.tolist()
+        # what occurs with one main text only is that text or goes with it: copies of a page are no template
+        texts = part[~part.tag & (part.low != part.high)].token.tolist()
         return pd.DataFrame({"host": [part.host.iloc[0]], "tags": [tag.token.tolist()], "kinds": [tag.kind.tolist()], "texts": [texts]})
 
     return often.groupBy("host").applyInPandas(deduce, "host string, tags array<long>, kinds array<int>, texts array<long>")
@@ -303,13 +319,13 @@ def _signed(token: int) -> int:
 
 def main_slots(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Templates of the classes that keep their order, with the slots of the article: those with text inside the
-    article's own element, and those with a share of the text that is not mostly links."""
+    article's own element, and those whose text is not mostly links, however small their share: a headline is a slot."""
 
     def choose(key: tuple, slots: pd.DataFrame) -> pd.DataFrame:
         kinds = slots[slots.kind >= 0]
         bad = set(kinds[kinds.wrong > DISORDER * kinds.pages].kind)
         text = slots[slots.kind < 0]
-        main = text[(text.inside > 0) | (text.chars >= 0.02 * text.chars.sum()) & (text.linked < 0.5 * text.chars)]
+        main = text[(text.inside > 0) | (text.linked < 0.5 * text.chars)]
         return pd.DataFrame({"host": [key[0]], "bad": [sorted(bad)], "main": [main.slot.tolist()]})
 
     chosen = rows.groupBy("host").applyInPandas(choose, "host string, bad array<int>, main array<long>")

@@ -237,3 +237,33 @@ def test_queries_cover_every_row(spark, name):
         items = {r.item_id: r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
         found = {(r.doc_id, r.item_id) for r in got.collect()}
         assert {(d, i) for d, t in texts.items() for i, x in items.items() if x in t} <= found
+
+
+def _div_page(k: int, body: str, wrap: str = "%s") -> str:
+    inner = (
+        f'<div class="menu"><a href="/">Home</a></div><h1>Headline {k}</h1><div class="txt">{body}</div>'
+        '<div class="legal">All rights reserved by the owner of this host</div>'
+    )
+    return f"<html><body>{wrap % inner}</body></html>"
+
+
+def _long(k: int) -> str:
+    return " ".join(f"word{(k * 7919 + i * 31) % 997}" for i in range(900))
+
+
+@pytest.mark.parametrize("wrap", ["%s", '<form id="page">%s</form>'], ids=["plain", "form"])
+def test_pages_of_div_only_hosts_keep_headlines(spark, wrap):
+    rows = [(k, f"http://divs.example/{k}", _div_page(k, _long(k), wrap)) for k in range(8)]
+    got = {r.page_id: r.text for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Headline {k}\n{_long(k)}" for k in range(8)}
+
+
+def test_copies_on_a_host_are_no_template(spark):
+    rows = [(k, f"http://copies.example/{k}", _div_page(min(k, 2), _long(min(k, 2)))) for k in range(6)]
+    got = {r.page_id: r.text for r in pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Headline {min(k, 2)}\n{_long(min(k, 2))}" for k in range(6)}
+
+
+def test_small_forms_stay_beside(spark):
+    html = _div_page(1, _long(1)).replace("</body>", "<form>Write to us here</form></body>")
+    assert "Write" not in pages._text_of(html, pages.Tags(), {}, None, set())
