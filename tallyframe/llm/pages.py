@@ -370,8 +370,9 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     treated one by one. Other columns are not read.
     """
     own = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
-    found = templates(token_rows(own))
     ensure_checkpoint_dir(pages.sparkSession)
+    # read twice below, by filters that would each be pushed down to an own pass over the pages
+    found = templates(token_rows(own).checkpoint())
     found = found.checkpoint()
     chosen = main_slots(found, slot_rows(_with_template(own, found))).checkpoint()
     joined = _with_template(own, chosen)
