@@ -4,7 +4,7 @@ Word counts come from all learning documents; the commonest words are the networ
 others stand for themselves within buckets by their spelling. A network (one gated recurrent layer, output
 factored into classes and words within them) is fitted with truncated backpropagation: each task
 trains on its own documents from the weights all share, and the weights are averaged after each
-round. Scoring carries the state from window to window through a document, from its first word to its end.
+round. Every learning document is read in one of the rounds. Scoring carries the state from window to window through a document, from its first word to its end.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ HIDDEN, CLASSES = 16, 32  # units, and classes of as many entries each
 PREFIXES = 64
 BUCKETS = 2 * PREFIXES
 TABLE_WORDS = 200_000  # commonest words whose counts every task holds; all others are joined
-WINDOW, LANES = 16, 128
-ROUNDS = 3
-FIT_ONE_IN = 12  # documents of a round: one in so many, other ones each round, by hash
+WINDOW, LANES = 16, 512
+ROUNDS = 3  # each over its share of the learning documents, by hash
 RATE = 0.02
 PIECE = 1 << 21
+SCORED_BYTES = 1 << 24  # texts laid into lanes together: the longest costs as many steps as it has words, whatever is beside it
 
 
 def _tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -115,9 +115,12 @@ class Lexicon:
         return at, self.hashes[at] == hashes
 
     def entries(self, hashes: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        at, known = self.look_up(hashes)
-        own = np.where(known, self.entry[at] if len(self.entry) else -1, -1)
-        return np.where(own >= 0, own, self.bucket_entry[bucket])
+        inside = self.entry >= 0  # few of the table's words, so they are searched alone
+        if not inside.any():
+            return self.bucket_entry[bucket]
+        keys = self.hashes[inside]
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        return np.where(keys[at] == hashes, self.entry[inside][at], self.bucket_entry[bucket])
 
 
 # --- network ---------------------------------------------------------------------------------------
@@ -162,54 +165,73 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def run_window(net: dict, x: np.ndarray, keep: np.ndarray, h: np.ndarray, cache: list | None = None) -> np.ndarray:
-    """States after each of the inputs ``x`` (steps times lanes); ``keep`` is 0 where a document begins."""
-    out = np.empty((*x.shape, HIDDEN), dtype=np.float32)
+    """States after each of the inputs ``x`` (steps times lanes); ``keep`` is 0 where a document begins.
+
+    Inside, and in ``cache``, units come before lanes, so that every operation runs along the lanes.
+    """
+    given = np.ascontiguousarray(net["input"][x].transpose(0, 2, 1))
+    state = np.ascontiguousarray(net["state"].T)
+    out = np.empty((len(x), HIDDEN, x.shape[1]), dtype=np.result_type(given, h))
+    h = h.T
     for t in range(len(x)):
-        h = h * keep[t][:, None]
-        given, before = net["input"][x[t]], h @ net["state"]
-        gates = _sigmoid(given[:, : 2 * HIDDEN] + before[:, : 2 * HIDDEN])
-        update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(given[:, 2 * HIDDEN :] + reset * before[:, 2 * HIDDEN :])
+        h = h * keep[t]
+        before = state @ h
+        gates = _sigmoid(given[t, : 2 * HIDDEN] + before[: 2 * HIDDEN])
+        update, reset = gates[:HIDDEN], gates[HIDDEN:]
+        new = np.tanh(given[t, 2 * HIDDEN :] + reset * before[2 * HIDDEN :])
         if cache is not None:
-            cache.append((h, before[:, 2 * HIDDEN :], update, reset, new))
+            cache.append((h, before[2 * HIDDEN :], update, reset, new))
         h = new + update * (h - new)
         out[t] = h
-    return out
+    return out.transpose(0, 2, 1)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of the target of every column, and all probabilities (in the place of ``x``) times their sum, with it as last row."""
+    x[:-1] -= x[:-1].max(axis=0)
+    picked = x[target, np.arange(len(target))]
+    np.exp(x[:-1], out=x[:-1])
+    x[:-1].sum(axis=0, out=x[-1])
+    return picked - np.log(x[-1]), x
+
+
+def _slopes(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Gradient of the negative log probability by what went into ``softmax``, in place."""
+    x[:-1] /= x[-1]
+    x[target, np.arange(len(target))] -= 1
+    return x[:-1]
 
 
 def predict(net: dict, states: np.ndarray, y: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of every target, and on request the gradient by states (others are added to ``grads``)."""
-    kind, word = y // CLASSES, y % CLASSES
-    at = np.arange(len(y))
-    of_class = log_softmax(states @ net["class_w"] + net["class_b"])
-    out = of_class[at, kind]
-    slope = None
-    if grads is not None:
-        d = np.exp(of_class)
-        d[at, kind] -= 1
-        grads["class_w"] += states.T @ d
-        grads["class_b"] += d.sum(axis=0)
-        slope = d @ net["class_w"].T
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(edges)):
-        part = order[edges[c] : edges[c + 1]]
-        mine = states[part]
-        of_word = log_softmax(mine @ net["word_w"][c] + net["word_b"][c])
-        here = np.arange(len(part))
-        out[part] += of_word[here, word[part]]
-        if grads is not None:
-            d = np.exp(of_word)
-            d[here, word[part]] -= 1
-            grads["word_w"][c] += mine.T @ d
-            grads["word_b"][c] += d.sum(axis=0)
-            slope[part] += d @ net["word_w"][c].T
-    return out, slope
+    order = np.argsort((y // CLASSES).astype(np.int16), kind="stable")
+    kind, word = np.divmod(y[order], CLASSES)
+    edges = np.searchsorted(kind, np.arange(CLASSES + 1))
+    classes = [(c, slice(edges[c], edges[c + 1])) for c in np.flatnonzero(np.diff(edges)).tolist()]
+    mine = states[order]
+    of_class, of_word = (np.empty((CLASSES + 1, len(y)), dtype=states.dtype) for _ in range(2))
+    np.matmul(net["class_w"].T, mine.T, out=of_class[:-1])
+    of_class[:-1] += net["class_b"][:, None]
+    for c, part in classes:
+        np.add(net["word_w"][c].T @ mine[part].T, net["word_b"][c][:, None], out=of_word[:-1, part])
+    (log_class, of_class), (log_word, of_word) = softmax(of_class, kind), softmax(of_word, word)
+    out = np.empty(len(y), dtype=states.dtype)
+    out[order] = log_class + log_word
+    if grads is None:
+        return out, None
+    d = _slopes(of_class, kind)
+    grads["class_w"] += (d @ mine).T
+    grads["class_b"] += d.sum(axis=1)
+    slope = d.T @ net["class_w"].T
+    d = _slopes(of_word, word)
+    for c, part in classes:
+        own = d[:, part]
+        grads["word_w"][c] += (own @ mine[part]).T
+        grads["word_b"][c] += own.sum(axis=1)
+        slope[part] += own.T @ net["word_w"][c].T
+    back = np.empty_like(slope)
+    back[order] = slope
+    return out, back
 
 
 class Trainer:
@@ -221,30 +243,43 @@ class Trainer:
         self.square = {k: np.zeros_like(v) for k, v in net.items()}
 
     def step(self, x: np.ndarray, y: np.ndarray, keep: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """One update by the targets ``y`` of a window; those below 0 are none."""
         net, cache = self.net, []
         grads = {k: np.zeros_like(v) for k, v in net.items()}
         states = run_window(net, x, keep, h, cache)
-        _, slope = predict(net, states.reshape(-1, HIDDEN), y.ravel(), grads)
-        slope = slope.reshape(states.shape)
-        carried = np.zeros_like(h)
-        d_input = np.empty((*x.shape, 3 * HIDDEN), dtype=np.float32)
+        flat, wanted = states.reshape(-1, HIDDEN), y.ravel()
+        inside = slice(None) if wanted.min() >= 0 else wanted >= 0
+        count = len(wanted[inside])
+        slope = np.zeros_like(flat)
+        slope[inside] = predict(net, flat[inside], wanted[inside], grads)[1]
+        slope = np.ascontiguousarray(slope.reshape(states.shape).transpose(0, 2, 1))
+        before_h, before_n, update, reset, new = (np.stack(one) for one in zip(*cache))
+        stay = 1 - update
+        by_new, by_update = stay * (1 - new * new), stay * update * (before_h - new)
+        by_reset = by_new * before_n * reset * (1 - reset)
+        by_state = by_new * reset
+        carried = np.zeros_like(slope[0])
+        d_state = np.empty((len(x), 3 * HIDDEN, x.shape[1]), dtype=slope.dtype)
+        d_new = np.empty_like(slope)
         for t in range(len(x) - 1, -1, -1):
-            before_h, before_n, update, reset, new = cache[t]
             d = slope[t] + carried
-            d_new = d * (1 - update) * (1 - new * new)
-            d_update = d * (before_h - new) * update * (1 - update)
-            d_reset = d_new * before_n * reset * (1 - reset)
-            d_input[t] = np.concatenate([d_update, d_reset, d_new], axis=1)
-            d_state = np.concatenate([d_update, d_reset, d_new * reset], axis=1)
-            grads["state"] += before_h.T @ d_state
-            carried = (d * update + d_state @ net["state"].T) * keep[t][:, None]
-        flat, order = x.ravel(), np.argsort(x.ravel(), kind="stable")
-        heads = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        grads["input"][flat[order][heads]] += np.add.reduceat(d_input.reshape(-1, 3 * HIDDEN)[order], heads, axis=0)
+            np.multiply(d, by_update[t], out=d_state[t, :HIDDEN])
+            np.multiply(d, by_reset[t], out=d_state[t, HIDDEN : 2 * HIDDEN])
+            np.multiply(d, by_state[t], out=d_state[t, 2 * HIDDEN :])
+            np.multiply(d, by_new[t], out=d_new[t])
+            carried = (d * update[t] + net["state"] @ d_state[t]) * keep[t]
+        grads["state"] += np.matmul(before_h, d_state.transpose(0, 2, 1)).sum(axis=0)
+        d_input = d_state
+        d_input[:, 2 * HIDDEN :] = d_new
+        order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+        given = x.ravel()[order]
+        heads = np.flatnonzero(np.diff(given, prepend=-1))
+        d_input = d_input.transpose(0, 2, 1).reshape(-1, 3 * HIDDEN)[order]
+        grads["input"][given[heads]] += np.add.reduceat(d_input, heads, axis=0)
         self.steps += 1
-        self.seen += x.size
+        self.seen += count
         for k, g in grads.items():
-            g = np.clip(g / x.size * 16, -1, 1)
+            g = np.clip(g / count * 16, -1, 1)
             self.mean[k] = 0.9 * self.mean[k] + 0.1 * g
             self.square[k] = 0.99 * self.square[k] + 0.01 * g * g
             scale = np.sqrt(self.square[k] / (1 - 0.99**self.steps)) + 1e-6
@@ -252,13 +287,17 @@ class Trainer:
         return states[-1]
 
     def documents(self, tokens: np.ndarray, end: int) -> None:
-        """Documents one after the other, each with its end, cut into lanes that are read side by side."""
-        lanes = max(1, min(LANES, len(tokens) // (4 * WINDOW)))
-        length = len(tokens) // lanes
-        if length == 0:
+        """Documents one after the other, each with its end, cut into lanes that are read side by side.
+
+        Every token is a target once. A lane begins after the last token of the lane before, with no state.
+        """
+        if not len(tokens):
             return
-        y = tokens[: lanes * length].reshape(lanes, length).T
-        x = np.vstack([np.full((1, lanes), end), y[:-1]])
+        lanes = max(1, min(LANES, len(tokens) // (4 * WINDOW)))
+        length = -(-len(tokens) // lanes)
+        y, x = np.full(lanes * length, -1), np.full(lanes * length, end)
+        y[: len(tokens)], x[1 : len(tokens)] = tokens, tokens[:-1]
+        y, x = y.reshape(lanes, length).T, x.reshape(lanes, length).T
         h = np.zeros((lanes, HIDDEN), dtype=np.float32)
         for at in range(0, length, WINDOW):
             part = slice(at, at + WINDOW)
@@ -270,9 +309,9 @@ def with_ends(texts: Texts, entries: np.ndarray, end: int) -> np.ndarray:
     return np.insert(entries, texts.firsts[1:], end)
 
 
-def fit(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, one_in: int = FIT_ONE_IN) -> dict[str, np.ndarray]:
-    """Weights after some rounds over learning documents (columns ``doc_id, text``)."""
-    net = first_weights(lexicon.start)
+def fit(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS) -> tuple[dict[str, np.ndarray], int]:
+    """Weights after some rounds that together read every learning document (columns ``doc_id, text``), and the tokens they read."""
+    net, tokens = first_weights(lexicon.start), 0
     tasks = max(1, docs.rdd.getNumPartitions())
     groups = max(1, int(np.ceil(np.sqrt(tasks))))
     for k in range(rounds):
@@ -281,7 +320,7 @@ def fit(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, one_in: int = F
         def run(batches: Iterator[pa.RecordBatch], packed: bytes = packed, rate: float = rate) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(unpack(packed), rate)
             for batch in batches:
-                for _, _, offsets, data in pieces(batch.column(0), PIECE // 4):
+                for _, _, offsets, data in pieces(batch.column(0), PIECE):
                     texts = Texts(offsets, data, lower=True)
                     trainer.documents(with_ends(texts, lexicon.entries(*_tokens(texts)), lexicon.end_entry), lexicon.end_entry)
             group = TaskContext.get().partitionId() % groups
@@ -293,21 +332,25 @@ def fit(docs: DataFrame, lexicon: Lexicon, rounds: int = ROUNDS, one_in: int = F
             total = sum(np.frombuffer(n, np.float32).astype(float) * s for n, s in zip(part.net, part.seen)) / max(seen, 1)
             return pd.DataFrame({"seen": [seen], "net": [np.asarray(total, np.float32).tobytes()]})
 
-        chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == k % one_in).select(F.col("text").cast("string"))
+        chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k).select(F.col("text").cast("string"))
         trained = chosen.mapInArrow(run, "group int, seen long, net binary").filter("seen > 0")
         parts = trained.groupBy("group").applyInPandas(mean, "seen long, net binary").collect()
         seen = sum(r.seen for r in parts)
+        tokens += seen
         if seen:
             net = unpack((sum(np.frombuffer(r.net, np.float32).astype(float) * r.seen for r in parts) / seen).astype(np.float32))
-    return net
+    return net, tokens
 
 
 def score_rows(net: dict, texts: Texts, entries: np.ndarray, end: int) -> np.ndarray:
-    """Natural log probability of every row with its end. Rows are laid into lanes one after the other."""
-    tokens = with_ends(texts, entries, end)
-    counts = texts.counts + 1
+    """Natural log probability of every row with its end."""
+    return score_tokens(net, with_ends(texts, entries, end), texts.counts + 1, end)
+
+
+def score_tokens(net: dict, tokens: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
+    """Natural log probability of every row, given as so many of all ``tokens``. Rows are laid into lanes one after the other."""
     begin = np.cumsum(counts) - counts
-    lanes = max(1, min(256, texts.rows))
+    lanes = max(1, min(LANES, len(counts)))
     order = np.argsort(-counts, kind="stable")
     load, lane_rows = np.zeros(lanes, dtype=np.int64), [[] for _ in range(lanes)]
     for row in order.tolist():
@@ -317,7 +360,7 @@ def score_rows(net: dict, texts: Texts, entries: np.ndarray, end: int) -> np.nda
     by_load = np.argsort(-load, kind="stable")
     load = load[by_load]
     steps = int(load[0]) if len(load) else 0
-    where = np.full((steps, lanes), -1, dtype=np.int64)
+    where = np.full((steps, lanes), -1, dtype=np.int32)
     for lane, source in enumerate(by_load.tolist()):
         at = 0
         for row in lane_rows[source]:
@@ -336,7 +379,7 @@ def score_rows(net: dict, texts: Texts, entries: np.ndarray, end: int) -> np.nda
         states = run_window(net, x, (x != end).astype(np.float32), h[:active])
         h = states[-1]
         got[part[inside]] = predict(net, states[inside], y[inside])[0]
-    return np.add.reduceat(got, begin) if texts.rows else got
+    return np.add.reduceat(got, begin) if len(counts) else got
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: int = 7, held_fold: int = 2) -> DataFrame:
@@ -356,19 +399,19 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     word_counts(learning).write.parquet(path)
     counts = spark.read.parquet(path)
     lexicon = Lexicon.of(counts, learning.count())
-    net = fit(learning, lexicon)
+    net, _ = fit(learning, lexicon)
 
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "logs", "base", "model", "rest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
+            held, size = [], 0
             for first, end, offsets, data in pieces(batch.column(1), PIECE):
                 texts = Texts(offsets, data, lower=True)
                 hashes, bucket = _tokens(texts)
                 at, known = lexicon.look_up(hashes)
                 log_count = np.where(known, lexicon.log_count[at] if len(lexicon.log_count) else 0.0, 0.0)
-                entries = lexicon.entries(hashes, bucket)
                 outside = np.ones(len(hashes), dtype=bool)
                 if len(lexicon.entry):
                     outside = ~(known & (lexicon.entry[at] >= 0))
@@ -377,7 +420,6 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     sums = np.concatenate([[0], np.cumsum(values)])
                     return sums[texts.firsts[1:]] - sums[texts.firsts[:-1]]
 
-                model = score_rows(net, texts, entries, lexicon.end_entry) / np.log(10)
                 # the sums below lack the words that are not in the table; those are joined
                 inside_bucket = per_row(np.where(outside, log_count - lexicon.bucket_log[bucket], 0.0))
                 rest = np.flatnonzero(~known)
@@ -391,11 +433,20 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     pa.array(per_row(known.astype(np.int64)) + int(lexicon.documents > 0)),
                     pa.array(per_row(log_count) + np.log10(lexicon.documents + 1)),
                     pa.array(np.full(n, np.log10(lexicon.tokens + lexicon.distinct + 1))),
-                    pa.array(model + inside_bucket),
+                    inside_bucket,
                     pa.ListArray.from_arrays(pa.array(starts), pa.array(signed(hashes[rest]))),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names)
-                row += n
+                held.append((with_ends(texts, lexicon.entries(hashes, bucket), lexicon.end_entry), texts.counts + 1, columns))
+                row, size = row + n, size + len(data)
+                if size < SCORED_BYTES and end < len(batch):
+                    continue
+                tokens, counts = (np.concatenate([one[k] for one in held]) for k in (0, 1))
+                model, begin = score_tokens(net, tokens, counts, lexicon.end_entry) / np.log(10), 0
+                for _, counts, columns in held:
+                    columns[7] = pa.array(model[begin : begin + len(counts)] + columns[7])
+                    begin += len(counts)
+                    yield pa.RecordBatch.from_arrays(columns, names)
+                held, size = [], 0
 
     kind = own.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, base double, model double, rest array<long>"

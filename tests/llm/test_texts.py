@@ -255,6 +255,36 @@ def test_language_model(spark):
     assert recurrent.score_documents(frame(spark, [])).count() == 0
 
 
+def test_network_learns_from_every_token(spark):
+    """No learning document, and no token left over after cutting into lanes, is passed over."""
+    import numpy as np
+
+    words = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join(words[(k + j) % 40] for j in range(k % 90))) for k in range(300)]
+    learning = frame(spark, rows).repartition(3)
+    lexicon = recurrent.Lexicon.of(recurrent.word_counts(learning), len(rows))
+    _, seen = recurrent.fit(learning, lexicon)
+    assert seen == lexicon.tokens == sum(k % 90 + 1 for k, _ in rows)
+    for n in (0, 1, 15, 63, 64, 129, 5003):
+        trainer = recurrent.Trainer(recurrent.first_weights(np.ones(1024)))
+        trainer.documents(np.arange(n) % 7, 0)
+        assert trainer.seen == n
+
+
+def test_scores_do_not_depend_on_rows_scored_together():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    net = recurrent.first_weights(rng.random(1024))
+    counts = rng.integers(1, 60, 700)
+    tokens = rng.integers(1, 1024, counts.sum())
+    tokens[np.cumsum(counts) - 1] = 0
+    whole = recurrent.score_tokens(net, tokens, counts, 0)
+    cut = counts[:300].sum()
+    parts = [recurrent.score_tokens(net, tokens[:cut], counts[:300], 0), recurrent.score_tokens(net, tokens[cut:], counts[300:], 0)]
+    assert np.allclose(whole, np.concatenate(parts), atol=1e-3)
+
+
 def test_network_gradients():
     import numpy as np
 
