@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from tallyframe.operators.series import TIME_BOUNDS
 
 OUT = "rule string, severity string, tick long, value double, active boolean, firing boolean"
 STATE = "judged long, held long, ticks array<long>, sums array<double>"
+FRAME_TICKS = 10_000  # ticks judged and returned at a time, or a window if that is more
 
 
 @dataclass(frozen=True)
@@ -96,51 +98,71 @@ class _Judge(StatefulProcessor):
         self.state = handle.getValueState("window", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        cells: dict[int, list[float]] = {}
-        begun, judged, held = self.state.exists(), 0, 0
+        begun, judged, held, ticks, sums = self.state.exists(), 0, 0, [], []
+        first = None
         if begun:
-            judged, held, cells = self._held()
+            judged, held, *known = self._held()
+            ticks, sums = [known[0]], [known[1]]
         for frame in rows:
-            for tick, real, sums in zip(frame["tick"], frame["real"], frame["sums"]):
-                # the first row begins the ticks, not the clock
-                if begun or real or cells:
-                    cells[int(tick)] = list(sums)
-        if cells:
-            yield self._judge(key[0], judged if begun else min(cells) - self.step, held, cells, timerValues)
+            tick = frame["tick"].to_numpy(np.int64)
+            real = tick[frame["real"].to_numpy() > 0]
+            if len(real):
+                first = min(int(real.min()), first) if first is not None else int(real.min())
+            ticks.append(tick)
+            sums.append(np.array(frame["sums"].tolist(), dtype=float).reshape(len(tick), -1))
+        # the first row begins the ticks, not the clock
+        if begun or first is not None:
+            yield from self._judge(key[0], judged if begun else first - self.step, held, *self._ordered(ticks, sums), timerValues)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.state.exists():
-            yield self._judge(key[0], *self._held(), timerValues)
+            yield from self._judge(key[0], *self._held(), timerValues)
 
     def close(self) -> None:
         pass
 
-    def _held(self) -> tuple[int, int, dict[int, list[float]]]:
+    @staticmethod
+    def _ordered(ticks: list[np.ndarray], sums: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ticks and sums by tick; of one tick's sums the last."""
+        tick = np.concatenate(ticks)
+        order = np.argsort(tick, kind="stable")
+        order = order[np.append(np.diff(tick[order]) != 0, True)]
+        return tick[order], np.concatenate(sums)[order]
+
+    def _held(self) -> tuple[int, int, np.ndarray, np.ndarray]:
         judged, held, ticks, flat = self.state.get()
-        width = len(flat) // len(ticks) if len(ticks) else 0
-        return judged, held, {int(t): list(flat[k * width : (k + 1) * width]) for k, t in enumerate(ticks)}
+        tick = np.array(ticks, dtype=np.int64)
+        order = np.argsort(tick)
+        return judged, held, tick[order], np.array(flat, dtype=float).reshape(len(tick), -1)[order]
 
-    def _judge(self, name: str, judged: int, held: int, cells: dict[int, list[float]], timers: TimerValues) -> pd.DataFrame:
+    def _judge(self, name: str, judged: int, held: int, ticks: np.ndarray, sums: np.ndarray, timers: TimerValues) -> Iterator[pd.DataFrame]:
+        """The ticks up to the watermark in frames of bounded size: neither they nor the sums between them are held at once."""
         severity, window, hold, value_of, is_active = self.rules[name]
-        step, out = self.step, []
+        step, width = self.step, sums.shape[1]
         last = timers.getCurrentWatermarkInMs() // 1000 // step * step
-        width = len(next(iter(cells.values()))) if cells else 0
-        # sums are whole numbers, so adding a step and taking one off again is exact
-        total = [sum(cells[t][i] for t in cells if judged - window * step < t <= judged) for i in range(width)]
+        columns = [f.split()[0] for f in OUT.split(", ")]
         while judged < last:
-            judged += step
-            new, old = cells.get(judged), cells.pop(judged - window * step, None)
-            total = [x + (new[i] if new else 0.0) - (old[i] if old else 0.0) for i, x in enumerate(total)]
-            value = value_of(total) if width else None
-            active = value is not None and is_active(value)
-            held = min(held + 1, hold + 1) if active else 0
-            out.append((name, severity, judged, value, active, held > hold))
-        if not any(t > judged - window * step for t in cells):
-            cells = {judged: [0.0] * width}  # nothing left but the width
-        flat = [float(x) for sums in cells.values() for x in sums]
-        self.state.update((judged, held, list(cells), flat))
+            n = min((last - judged) // step, max(FRAME_TICKS, window))
+            # sums are whole numbers, so the difference of two running totals is exact
+            at = slice(*np.searchsorted(ticks, [judged - (window - 1) * step, judged + n * step + 1]))
+            steps = np.zeros((window + n, width))
+            steps[(ticks[at] - judged) // step + window - 1] = sums[at]
+            running = np.cumsum(steps, axis=0)
+            totals = running[window:] - running[:n]
+            out = []
+            for total in totals.tolist():
+                judged += step
+                value = value_of(total) if width else None
+                active = value is not None and is_active(value)
+                held = min(held + 1, hold + 1) if active else 0
+                out.append((name, severity, judged, value, active, held > hold))
+            yield pd.DataFrame(out, columns=columns).astype({"value": "float64", "active": bool, "firing": bool})
+        kept = ticks > judged - window * step
+        ticks, sums = ticks[kept], sums[kept]
+        if not len(ticks):
+            ticks, sums = np.array([judged]), np.zeros((1, width))  # nothing left but the width
+        self.state.update((judged, held, ticks.tolist(), sums.ravel().tolist()))
         self.handle.registerTimer((judged + step) * 1000)
-        return pd.DataFrame(out, columns=[f.split()[0] for f in OUT.split(", ")]).astype({"value": "float64", "active": bool, "firing": bool})
 
 
 def clock_stream(spark: SparkSession) -> DataFrame:

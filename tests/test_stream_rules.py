@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +84,56 @@ def test_batches_restarts_and_silence(spark, tmp_path):
     assert drained(spark, tmp_path, log_path, clock_path).count() == found.count()
 
 
+class Kept:
+    """State and timers of one key, as a processor sees them."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, moment):
+        self.timers.append(moment)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_a_long_span_comes_in_frames():
+    """Neither the ticks of a batch nor what they return are held at once, and no frame's edge shows."""
+    rng, step, window, hold, end = random.Random(3), 60, 5, 2, 45_000
+    runs = {t: rng.randrange(3) for t in range(1, end) if rng.random() < 0.2 or 20_000 < t < 20_040} | {1: 2, 19_997: 0}
+    judge, kept = rules._Judge({"low": ("info", window, hold, lambda s: s[0], lambda v: v < 1)}, step), Kept()
+    judge.init(kept)
+    rows = [(t * step, 1, [float(n)]) for t, n in runs.items()] + [(-600, 0, [0.0])]
+    rng.shuffle(rows)
+    got = []
+    for part, watermark in ((rows, 44_000), ([], 45_000)):
+        kept.watermark = watermark * step * 1000 + 1500
+        frames = [pd.DataFrame(part[a : a + 999], columns=["tick", "real", "sums"]) for a in range(0, len(part), 999)]
+        found = judge.handleInputRows(("low",), iter(frames), kept) if part else judge.handleExpiredTimer(("low",), kept, None)
+        for frame in found:
+            assert len(frame) <= rules.FRAME_TICKS
+            got += list(frame.itertuples(index=False, name=None))
+    wanted, held = [], 0
+    for t in range(1, 45_001):
+        value = float(sum(runs.get(t - k, 0) for k in range(window)))
+        held = held + 1 if value < 1 else 0
+        wanted.append(("low", "info", t * step, value, value < 1, held > hold))
+    assert got == wanted and kept.timers[-1] == 45_001 * step * 1000
+    assert len(kept.value[2]) <= window
+
+
 def test_rules_are_checked(spark):
     log = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError):
